@@ -62,7 +62,7 @@ def differences(spark, con, name: str, sf_dir: str) -> tuple[list[str], int]:
 def main(sf_dir: str, names: list[str]) -> int:
     spark = build_session(
         "parity", "local[8]", spark__sql__shuffle__partitions=8, spark__ui__enabled="false",
-        spark__driver__memory="12g",
+        spark__driver__memory="12g", spark__ui__showConsoleProgress="false",
     )
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(sf_dir)

@@ -44,16 +44,18 @@ class Tables:
         lines = self.read("lineitem")
         if delivery is not None:
             lines = lines.filter(F.col("l_linestatus") == delivery)
-        qty = F.col("l_quantity").cast("bigint")
-        disc = F.round(F.col("l_discount") * 100).cast("bigint")
-        tax = F.round(F.col("l_tax") * 100).cast("bigint")
+        lines = lines.withColumns({
+            "q": F.col("l_quantity").cast("bigint"),
+            "d": F.rint(F.col("l_discount") * 100).cast("bigint"),
+            "t": F.rint(F.col("l_tax") * 100).cast("bigint"),
+            "day": F.col("l_shipdate").cast("date"),
+        })
+        qty, disc, tax = F.col("q"), F.col("d"), F.col("t")
 
         def only(flag: str, value: str, amount: Column) -> Column:
             return F.sum(F.when(F.col(flag) == value, amount).otherwise(F.lit(0)))
 
-        days = lines.groupBy(
-            "l_suppkey", F.col("l_shipdate").cast("date").alias("WorkDate")
-        ).agg(
+        days = lines.groupBy("l_suppkey", F.col("day").alias("WorkDate")).agg(
             F.count(F.lit(1)).alias("lines"),
             F.sum(qty).alias("qty"),
             only("l_linestatus", "F", qty).alias("qty_f"),

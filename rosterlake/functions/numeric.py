@@ -1,42 +1,70 @@
 """Order-independent arithmetic.
 
-Sums of doubles depend on the order in which partitions arrive, so a rounded
-mean could change between two runs, or after a lost executor. Every mean and
-sum the engine publishes therefore adds decimals, which is exact, and only the
-final value goes back to double.
+Sums of doubles depend on the order in which partitions arrive, so a rounded mean could
+change between two runs, or after a lost executor. Every sum and mean the engine
+publishes therefore adds whole ten-thousandths: values carry at most four decimals
+(published hours have two, daily ratios are rounded to four). Adding longs is exact and
+stays in generated code; decimals appear once per group, for the final rounding.
+
+A long holds 9 * 10^14 whole units. Beyond that ANSI mode raises; nothing wraps silently.
+NaN is left out, like NULL.
 """
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+UNITS = 10_000
+UNIT = Decimal("0.0001")
+
+
+def _column(value: str | Column) -> Column:
+    return F.col(value) if isinstance(value, str) else value
+
+
+def in_units(value: str | Column) -> Column:
+    """A value of at most four decimals as a whole number of ten-thousandths."""
+    return F.rint(_column(value) * UNITS).try_cast("bigint")
 
-def decimal_of(value: str | Column, scale: int = 4) -> Column:
-    """``value`` as DECIMAL(18, scale); the cast rounds half up on the decimal text."""
-    column = F.col(value) if isinstance(value, str) else value
-    return column.cast(f"decimal(18,{scale})")
+
+def _total(units: Column) -> Column:
+    return F.sum(units).cast("decimal(24,0)") * F.lit(UNIT)
+
+
+def _quotient(value: str | Column) -> Column:
+    units = in_units(value)
+    return F.try_divide(_total(units), F.count(units))
 
 
 def exact_sum(value: str | Column, digits: int) -> Column:
-    return F.round(F.sum(decimal_of(value)), digits).cast("double")
+    return F.round(_total(in_units(value)), digits).cast("double")
 
 
-def exact_mean(value: str | Column, digits: int) -> Column:
-    """Mean of values with at most four decimals, rounded half up."""
-    dec = decimal_of(value)
-    return F.round(F.sum(dec) / F.count(dec), digits).cast("double")
+def exact_mean(value: str | Column, digits: int, half_even: bool = False) -> Column:
+    """Mean rounded half up (or half even); NULL when there is nothing to average."""
+    rounding = F.bround if half_even else F.round
+    return rounding(_quotient(value), digits).cast("double")
 
 
-def exact_mean_half_even(value: str | Column, digits: int) -> Column:
-    dec = decimal_of(value)
-    return F.bround(F.sum(dec) / F.count(dec), digits).cast("double")
+def exact_percent(value: str | Column, digits: int) -> Column:
+    """Mean share as a percentage, rounded half even."""
+    return F.bround(_quotient(value) * 100, digits).cast("double")
 
 
-def full_mean(value: str | Column, scale: int = 4) -> Column:
+def full_mean(value: str | Column) -> Column:
     """Mean without a final rounding: one exact sum, one double division."""
-    dec = decimal_of(value, scale)
-    return F.sum(dec).cast("double") / F.count(dec)
+    units = in_units(value)
+    return F.try_divide(_total(units).cast("double"), F.count(units))
+
+
+def quotient_mean(value: Column, scale: int = 10) -> Column:
+    """Mean of arbitrary quotients, each kept to ``scale`` decimals so that the sum
+    is exact."""
+    dec = value.cast(f"decimal(18,{scale})")
+    return F.try_divide(F.sum(dec).cast("double"), F.count(dec))
 
 
 def row_count() -> Column:

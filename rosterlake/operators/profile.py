@@ -21,18 +21,16 @@ from rosterlake.config import (
     Settings,
 )
 from rosterlake.functions.numeric import (
-    exact_mean_half_even,
+    exact_mean,
     full_mean,
     percent,
+    quotient_mean,
     row_count,
 )
 from rosterlake.functions.staffing import hours_per_patient, profiling_tier
 from rosterlake.operators.clean import enough_census
 from rosterlake.operators.quantiles import exact_quantiles
 
-# Ratios are arbitrary quotients; ten decimals are kept when they are averaged.
-RATIO_SCALE = 10
-
 
 def _per_column(table: DataFrame, measures: dict[str, list[Column]]) -> DataFrame:
     """Aggregate ``measures[column]`` (aliased the same way for every column) in one
@@ -144,7 +142,7 @@ def zero_report(table: DataFrame, columns: tuple[str, ...] = HOUR_COLUMNS) -> Da
             zeros.alias("zero_count"),
             F.bround(percent(zeros, rows), 1).alias("zero_pct"),
             F.when(zeros == rows, F.lit(0.0))
-            .otherwise(exact_mean_half_even(above, 2))
+            .otherwise(exact_mean(above, 2, half_even=True))
             .alias("mean_nonzero"),
         ]
 
@@ -159,7 +157,7 @@ def describe_stats(
     stats = _per_column(table, {
         name: [
             F.count(name).alias("count"),
-            exact_mean_half_even(name, digits).alias("mean"),
+            exact_mean(name, digits, half_even=True).alias("mean"),
             F.round(F.stddev_samp(name), digits).alias("std"),
             F.bround(F.min(name).cast("double"), digits).alias("min"),
             F.bround(F.max(name).cast("double"), digits).alias("max"),
@@ -288,7 +286,7 @@ def chronic_offenders(
         .groupBy(*group)
         .agg(
             F.count("WorkDate").alias("days_below_minimum"),
-            full_mean(hours_per_patient("Hrs_CNA"), RATIO_SCALE).alias("avg_CNA_ratio"),
+            quotient_mean(hours_per_patient("Hrs_CNA")).alias("avg_CNA_ratio"),
             full_mean("MDScensus").alias("avg_patients"),
         )
         .orderBy(F.desc("days_below_minimum"), "PROVNUM", "PROVNAME", "STATE")
@@ -303,10 +301,9 @@ def facility_means(staffing: DataFrame, settings: Settings = DEFAULTS) -> DataFr
         .filter(F.col("PROVNUM").isNotNull())
         .groupBy("PROVNUM")
         .agg(
-            full_mean(hours_per_patient("Hrs_CNA"), RATIO_SCALE).alias("avg_CNA_ratio"),
-            full_mean(hours_per_patient("Hrs_RN"), RATIO_SCALE).alias("avg_RN_ratio"),
-            full_mean(hours_per_patient("Hrs_RN", "Hrs_LPN", "Hrs_CNA"), RATIO_SCALE)
-            .alias("avg_total_ratio"),
+            quotient_mean(hours_per_patient("Hrs_CNA")).alias("avg_CNA_ratio"),
+            quotient_mean(hours_per_patient("Hrs_RN")).alias("avg_RN_ratio"),
+            quotient_mean(hours_per_patient("Hrs_RN", "Hrs_LPN", "Hrs_CNA")).alias("avg_total_ratio"),
             full_mean("MDScensus").alias("avg_census"),
             F.count("WorkDate").alias("days_in_quarter"),
         )

@@ -15,7 +15,7 @@ from rosterlake.config import (
     Settings,
 )
 from rosterlake.functions.calendar import week_start
-from rosterlake.functions.numeric import decimal_of, exact_sum, full_mean, percent, row_count
+from rosterlake.functions.numeric import exact_percent, exact_sum, full_mean, percent, row_count
 
 def _top(ranked: DataFrame, n: int | None) -> DataFrame:
     return ranked if n is None else ranked.limit(n)
@@ -130,11 +130,7 @@ def contract_by_state(facilities: DataFrame, n: int | None = 20) -> DataFrame:
         exact_sum("total_employed_RN_hours", 1).alias("avg_employed"),
         exact_sum("total_contracted_RN_hours", 1).alias("avg_contract_hrs"),
         F.count("PROVNUM").alias("facility_count"),
-        # from the exact sum, so that ties round the same in every run
-        F.bround(
-            F.sum(decimal_of("avg_contracted_rn_ratio")) * 100
-            / F.count("avg_contracted_rn_ratio"), 1,
-        ).cast("double").alias("contracted_pct"),
+        exact_percent("avg_contracted_rn_ratio", 1).alias("contracted_pct"),
     )
     return _top(by_state.orderBy(F.desc("contracted_pct"), "STATE"), n)
 
