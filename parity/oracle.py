@@ -387,6 +387,11 @@ ORACLE: dict[str, str] = {
            f"'OK' AS status, (SELECT count({PROVIDER_FIELDS.get(header, (header, ''))[0]}) "
            "FROM pbj LEFT JOIN prov ON PROVNUM = CCN) AS filled_rows")
         for header in EXPECTED_AFTER_JOIN]), "pbj", "prov"),
+    "joined_preview": sql(
+        "SELECT " + ", ".join(
+            (f'CAST({PROVIDER_FIELDS[h][0]} AS VARCHAR) AS "{h}"' if h in PROVIDER_FIELDS else h)
+            for h in EXPECTED_AFTER_JOIN if h != "Total nursing staff turnover")
+        + " FROM pbj LEFT JOIN prov ON PROVNUM = CCN ORDER BY PROVNUM, WorkDate LIMIT 3", "pbj", "prov"),
     "merge_insert_only": _INSERTED,
     "insert_table": _INSERTED,
     "merge_upsert": _UPSERTED,

@@ -107,14 +107,22 @@ def schema_report(t: Tables) -> DataFrame:
     return profile.schema_report(t.staffing())
 
 
+def join_raw_provider(t: Tables) -> DataFrame:
+    """Staffing beside the provider file as it comes, one wanted column short."""
+    return clean.lookup_join(
+        t.staffing(), t.provider_text().drop("Total nursing staff turnover"),
+        "PROVNUM", "CMS Certification Number (CCN)", spread_by=("WorkDate", "MDScensus"),
+    )
+
+
 @query
 def column_presence(t: Tables) -> DataFrame:
-    raw = t.provider_text().drop("Total nursing staff turnover")
-    staffing = t.staffing()
-    joined = staffing.join(
-        raw, staffing["PROVNUM"] == raw["CMS Certification Number (CCN)"], "left"
-    )
-    return profile.column_presence(joined)
+    return profile.column_presence(join_raw_provider(t))
+
+
+@query
+def joined_preview(t: Tables) -> DataFrame:
+    return profile.joined_preview(join_raw_provider(t))
 
 
 # --- sinks -----------------------------------------------------------------------

@@ -76,9 +76,20 @@ def column_presence(table: DataFrame, expected: tuple[str, ...] = EXPECTED_AFTER
     })
 
 
-def first_rows(table: DataFrame, n: int, order_by: tuple[str, ...] = DAY_KEY) -> DataFrame:
-    """The first ``n`` rows in key order: a sample every run agrees on."""
-    return table.orderBy(*order_by).limit(n)
+def first_rows(table: DataFrame, n: int, order_by: tuple[str, ...] | None = DAY_KEY) -> DataFrame:
+    """The first ``n`` rows in key order: a sample every run agrees on.
+
+    With ``order_by=None`` any ``n`` rows: reads only as many files as it takes.
+    """
+    return (table.orderBy(*order_by) if order_by else table).limit(n)
+
+
+def joined_preview(
+    joined: DataFrame, n: int = 3, columns: tuple[str, ...] = EXPECTED_AFTER_JOIN
+) -> DataFrame:
+    """A few joined rows, with those of the wanted columns that exist."""
+    shown = [F.col(f"`{name}`") for name in columns if name in joined.columns]
+    return first_rows(joined, n).select(*shown)
 
 
 # --- identity ------------------------------------------------------------------
