@@ -120,11 +120,11 @@ class Settings:
     census_clip: int = 300
     histogram_bins: int = 50
 
-    # A lookup is broadcast only when it was measured to be inside both bounds;
-    # otherwise the join is salted ``join_salts`` ways.
+    # A lookup is broadcast only when it was measured to be inside both bounds; otherwise
+    # it is shuffled, and keys with more than ``hot_share`` of all rows are split.
     broadcast_max_rows: int = 500_000
     broadcast_max_bytes: int = 64 * 1024 * 1024
-    join_salts: int = 16
+    hot_share: float = 0.001
 
 
 @dataclass(frozen=True)

@@ -109,7 +109,8 @@ def join_coverage(staffing: DataFrame, provider: DataFrame) -> DataFrame:
 def unmatched_ids(staffing: DataFrame, provider: DataFrame, n: int | None = 10) -> DataFrame:
     """Facilities without a provider row, the first ``n`` of them (None: all)."""
     facilities = staffing.select("PROVNUM").filter(F.col("PROVNUM").isNotNull()).distinct()
+    known = provider.select("CCN").distinct()
     missing = facilities.join(
-        provider.select("CCN"), facilities["PROVNUM"] == provider["CCN"], "left_anti"
+        known, facilities["PROVNUM"] == known["CCN"], "left_anti"
     ).orderBy("PROVNUM")
     return missing if n is None else missing.limit(n)

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StringType
 
 from rosterlake.functions.numeric import row_count
 from rosterlake.config import DEFAULTS, Settings
 
-SALT = "_salt"
+SALT, HOT, WAYS = "_salt", "_hot", "_ways"
 
 
 def fits_broadcast(lookup: DataFrame, settings: Settings = DEFAULTS) -> bool:
@@ -41,31 +41,63 @@ def lookup_join(
 ) -> DataFrame:
     """``facts`` joined to ``lookup`` on one key, both key columns kept.
 
-    A lookup inside the measured bounds is broadcast: the facts do not move. A
-    larger one is joined on (key, salt): facts get a salt from ``spread_by``, a
-    hash of their own columns and therefore the same after a task retry, and each
-    lookup row is present once per salt. A key holding a third of the facts is then
-    spread over ``join_salts`` tasks. The result is the same either way.
+    A lookup inside the measured bounds is broadcast: the facts do not move. A larger
+    one is shuffled, with hot keys split (see ``_salted_join``). The result is the same.
 
     ``small`` passes on an earlier measurement; None measures here.
     """
     if small is None:
         small = fits_broadcast(lookup, settings)
     if small:
-        return facts.join(F.broadcast(lookup), _same(facts, fact_key, lookup, lookup_key), how)
+        return facts.join(F.broadcast(lookup), facts[fact_key] == lookup[lookup_key], how)
+    return _salted_join(facts, lookup, fact_key, lookup_key, spread_by, how, settings)
 
-    ways = settings.join_salts
-    left = facts.withColumn(SALT, F.pmod(F.xxhash64(*spread_by), F.lit(ways)).cast("int"))
-    right = lookup.withColumn(
-        SALT, F.explode(F.sequence(F.lit(0), F.lit(ways - 1)))
+
+def hot_keys(facts: DataFrame, key: str, settings: Settings = DEFAULTS) -> DataFrame:
+    """Keys holding more than ``hot_share`` of the rows, and in how many parts to split each.
+
+    A share of 1/1000 leaves at most 1000 of them, however large the table: small enough
+    to broadcast by construction.
+    """
+    counts = facts.groupBy(key).agg(row_count().alias("n"))
+    limit = F.greatest(
+        counts.agg((F.sum("n") * F.lit(settings.hot_share)).alias("n")).scalar(), F.lit(1.0)
     )
-    joined = left.join(
-        right,
-        _same(left, fact_key, right, lookup_key) & (left[SALT] == right[SALT]),
-        how,
+    return counts.filter(F.col(key).isNotNull() & (F.col("n") > limit)).select(
+        F.col(key).alias(HOT), F.ceil(F.col("n") / limit).cast("int").alias(WAYS)
     )
-    return joined.drop(left[SALT]).drop(right[SALT])
 
 
-def _same(left: DataFrame, left_key: str, right: DataFrame, right_key: str) -> Column:
-    return left[left_key] == right[right_key]
+def _salted_join(
+    facts: DataFrame,
+    lookup: DataFrame,
+    fact_key: str,
+    lookup_key: str,
+    spread_by: tuple[str, ...],
+    how: str,
+    settings: Settings,
+) -> DataFrame:
+    """Join on (key, salt). A hot key gets as many salts as it has shares of rows, its
+    lookup rows are repeated once per salt, and all other keys use salt 0.
+
+    A fact's salt is a hash of its own ``spread_by`` columns: the same again after a
+    lost executor. Facts without a key match nothing and are only spread.
+    """
+    hot = hot_keys(facts, fact_key, settings)
+    ways = F.when(F.col(fact_key).isNull(), F.lit(int(1 / settings.hot_share))).otherwise(
+        F.coalesce(F.col(WAYS), F.lit(1))
+    )
+    left = (
+        facts.join(F.broadcast(hot), F.col(fact_key) == F.col(HOT), "left")
+        .withColumn(SALT, F.pmod(F.xxhash64(*spread_by), ways).cast("int"))
+        .drop(HOT, WAYS)
+    )
+    right = (
+        lookup.join(F.broadcast(hot), F.col(f"`{lookup_key}`") == F.col(HOT), "left")
+        .withColumn(SALT, F.explode(F.sequence(F.lit(0), F.coalesce(F.col(WAYS), F.lit(1)) - 1)))
+        .drop(HOT, WAYS)
+    )
+    joined = left.join(
+        right, (left[fact_key] == right[lookup_key]) & (left[SALT] == right[SALT]), how
+    )
+    return joined.drop(left[SALT]).drop(right[SALT])

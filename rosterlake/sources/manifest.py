@@ -19,8 +19,8 @@ def with_quarter(manifest: DataFrame) -> DataFrame:
 def new_quarters(manifest: DataFrame, existing: DataFrame) -> DataFrame:
     """Quarters named by a staffing file and not yet landed.
 
-    ``existing`` has a ``quarter`` column. The distinct runs before the
-    anti join, so only one row per quarter is shuffled and compared.
+    ``existing`` has a ``quarter`` column, of any length. Both sides are made distinct
+    before the anti join, so only one row per quarter is compared.
     """
     offered = (
         with_quarter(manifest.filter(F.col("name").contains(STAFFING_FILE_MARK)))
@@ -28,7 +28,7 @@ def new_quarters(manifest: DataFrame, existing: DataFrame) -> DataFrame:
         .select("quarter")
         .distinct()
     )
-    return offered.join(existing.select("quarter"), "quarter", "left_anti")
+    return offered.join(existing.select("quarter").distinct(), "quarter", "left_anti")
 
 
 def assign_files(manifest: DataFrame, quarters: DataFrame) -> DataFrame:

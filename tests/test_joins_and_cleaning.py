@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from rosterlake.config import DEFAULTS, HOUR_COLUMNS, PROVIDER_FIELDS, STAFFING_COLUMNS
 from rosterlake.operators import clean
-from rosterlake.operators.joins import fits_broadcast
+from rosterlake.operators.joins import fits_broadcast, hot_keys
 from rosterlake.sources.csv import scan_provider, scan_staffing
 
 PROVIDER_SCHEMA = ", ".join(f"{name} {kind}" for name, kind in PROVIDER_FIELDS.values())
@@ -90,23 +90,26 @@ def test_salted_join_equals_broadcast_join_with_a_hot_key(spark, staffing_of):
     rows += [{"PROVNUM": None, "WorkDate": start}] * 100
     staffing, provider = staffing_of(*rows), provider_of(spark, *[f"{i:06d}" for i in range(1, 150)])
     small = clean.join_provider(staffing, provider, small=True)
-    large = clean.join_provider(staffing, provider, small=False)
+    large = clean.join_provider(staffing, provider, small=False, settings=replace(DEFAULTS, hot_share=0.02))
     assert small.columns == large.columns
     assert small.exceptAll(large).count() == 0 and large.exceptAll(small).count() == 0
     assert large.count() == len(rows)
 
 
-def test_hot_key_is_spread_by_the_salt(spark, staffing_of):
+def test_hot_keys_are_split_by_their_share(spark):
+    keys = spark.range(900).selectExpr("CASE WHEN id < 300 THEN 'hot' WHEN id < 310 THEN NULL ELSE cast(id AS string) END AS k")
+    settings = replace(DEFAULTS, hot_share=0.01)
+    assert [tuple(r) for r in hot_keys(keys, "k", settings).collect()] == [("hot", 34)]
+    assert hot_keys(keys.limit(0), "k", settings).count() == 0
+
+
+def test_no_shuffle_partition_holds_a_hot_key_whole(spark, staffing_of):
     start = date(2024, 1, 1)
     staffing = staffing_of(*[
         {"PROVNUM": "000001", "WorkDate": start + timedelta(days=i), "MDScensus": 20} for i in range(640)
     ])
-    salts = (
-        staffing.select(F.pmod(F.xxhash64("WorkDate", "MDScensus"), F.lit(DEFAULTS.join_salts)).alias("s"))
-        .groupBy("s").count().collect()
-    )
-    assert len(salts) == DEFAULTS.join_salts
-    assert max(r["count"] for r in salts) < 640 / DEFAULTS.join_salts * 2
+    parts = staffing.select(F.pmod(F.xxhash64("WorkDate", "MDScensus"), F.lit(64)).alias("s")).groupBy("s").count()
+    assert parts.count() > 60 and parts.agg(F.max("count")).first()[0] < 640 / 64 * 3
 
 
 def test_broadcast_needs_both_bounds(spark):
