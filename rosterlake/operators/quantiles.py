@@ -31,8 +31,9 @@ def exact_quantiles(
         .agg(row_count().alias("n"))
     )
     # A quantile sketch of the distinct values: bounded in size, and only used to
-    # place bucket borders, so its error never reaches the result.
-    borders = counts.groupBy("column_name").agg(
+    # place bucket borders, so its error never reaches the result. Asking for n keeps
+    # this branch's shuffle identical to the main one, so Spark runs it once.
+    borders = counts.filter("n > 0").groupBy("column_name").agg(
         F.percentile_approx("value", [i / BUCKETS for i in range(1, BUCKETS)], 2000).alias("borders")
     )
     # One row of BUCKETS - 1 doubles per profiled column: bounded by construction.
