@@ -20,9 +20,8 @@ def quarter_label(day: Column) -> Column:
 
 def quarter_from_name(name: Column) -> Column:
     """``..._Q2_2024.csv`` -> ``2024Q2``; NULL when the name holds no quarter."""
-    number = F.regexp_extract(name, QUARTER_IN_NAME, 1)
-    year = F.regexp_extract(name, QUARTER_IN_NAME, 2)
-    return F.when(year != "", F.concat(year, F.lit("Q"), number))
+    found = F.regexp_extract(name, QUARTER_IN_NAME, 0)
+    return F.nullif(F.regexp_replace(found, QUARTER_IN_NAME, "$2Q$1"), F.lit(""))
 
 
 def is_weekend(day: Column) -> Column:

@@ -29,7 +29,9 @@ def create_table(
     """Write a table from scratch, replacing what is there."""
     (
         _by_partition(rows, partitions)
-        .write.format(fmt).mode("overwrite").partitionBy(*partitions).save(path)
+        .write.format(fmt).mode("overwrite")
+        .option("partitionOverwriteMode", "static")
+        .partitionBy(*partitions).save(path)
     )
 
 
@@ -59,7 +61,8 @@ def insert_only(
 
     Safe to run again after a failure: rows that made it are then held. With
     ``range_column``, one of the keys, the table is only read between the smallest and
-    the largest value in the source, since no other row can match.
+    the largest value in the source, since no other row can match. A delivery of new days
+    finds nothing there and is written without being shuffled for the key comparison.
     """
     target = read_if_exists(spark, path, fmt)
     if target is None:
@@ -71,7 +74,7 @@ def insert_only(
         ).first()
         # No value at all: every key is NULL somewhere, and nothing can match.
         target = target.filter(F.col(range_column).between(F.lit(span.lo), F.lit(span.hi)))
-    fresh = rows_to_insert(target, source, keys, null_safe)
+    fresh = source if target.isEmpty() else rows_to_insert(target, source, keys, null_safe)
     (
         _by_partition(fresh, partitions)
         .write.format(fmt).mode("append").partitionBy(*partitions).save(path)

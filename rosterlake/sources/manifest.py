@@ -5,13 +5,33 @@ A manifest is any DataFrame with a ``name`` column (one row per file offered).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rosterlake.config import STAFFING_FILE_MARK
 from rosterlake.functions.calendar import quarter_from_name
 
 
+def offered_files(spark: SparkSession, folder: str) -> DataFrame:
+    """The files below a drop folder. Only listed: contents are not a selected column."""
+    return (
+        spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
+        .select(
+            F.element_at(F.split("path", "/"), -1).alias("name"),
+            F.col("path").alias("id"),
+            F.col("modificationTime").alias("modifiedTime"),
+        )
+    )
+
+
+def landed_quarters(spark: SparkSession, bronze: str) -> DataFrame:
+    """The ``quarter=<q>`` folders of the landing area that hold files."""
+    return (
+        spark.read.format("binaryFile").load(bronze)
+        .select(F.col("quarter").cast("string").alias("quarter")).distinct()
+    )
+
+
 def with_quarter(manifest: DataFrame) -> DataFrame:
     return manifest.withColumn("quarter", quarter_from_name(F.col("name")))
 

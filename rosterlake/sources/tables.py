@@ -6,6 +6,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rosterlake.config import TablePaths
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     return spark.read.format(fmt).load(path)
@@ -30,6 +31,19 @@ def read_quarter(spark: SparkSession, path: str, quarter: str, fmt: str = "parqu
     return in_quarter(read_table(spark, path, fmt), quarter)
 
 
+def gold_tables(
+    spark: SparkSession, paths: TablePaths, fmt: str = "parquet", keep: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """The facility and the daily table, as of now.
+
+    ``keep`` marks the facility table for caching: one row per facility and quarter, read
+    by every served query. The daily table is left to column and partition pruning.
+    """
+    facilities = read_table(spark, paths.facility_summary, fmt)
+    daily = read_table(spark, paths.staffing_metrics, fmt)
+    return (facilities.cache() if keep else facilities), daily
+
+
 def landing_path(bronze: str, quarter: str, file_name: str = "") -> str:
     """``<bronze>/quarter=<q>/<file>``: one folder per quarter, files byte for byte."""
     return f"{bronze.rstrip('/')}/quarter={quarter}/{file_name}"

@@ -7,11 +7,17 @@ import pytest
 from rosterlake.config import HOUR_COLUMNS, PROVIDER_FIELDS, STAFFING_COLUMNS, TablePaths
 from rosterlake.operators.clean import select_provider
 from rosterlake.plans.gold import run_facility_summary, run_gold, run_staffing_metrics
+from rosterlake.plans.serving import facility_filter, kpi_cards, weekly_trend
 from rosterlake.plans.silver import SILVER_COLUMNS, run_silver
 from rosterlake.sinks import checks
 from rosterlake.sources.csv import scan_provider
-from rosterlake.sources.manifest import assign_files, new_quarters
-from rosterlake.sources.tables import landing_path, read_if_exists, read_quarter, read_table
+from rosterlake.sources.manifest import (
+    assign_files,
+    landed_quarters,
+    new_quarters,
+    offered_files,
+)
+from rosterlake.sources.tables import gold_tables, landing_path, read_if_exists, read_quarter, read_table
 from rosterlake.streaming.incremental import load_new_days
 
 START = {"2024Q2": date(2024, 4, 1), "2024Q3": date(2024, 7, 1)}
@@ -133,5 +139,29 @@ def test_files_and_quarters(spark):
     assert assign_files(manifest, new_quarters(manifest, fresh.union(landed))).count() == 0
 
 
+def test_drop_folder_against_landing_folder(spark, lake, tmp_path):
+    paths, _, staffing = lake
+    staffing("2024Q2")
+    for name in ("PBJ_Daily_Nurse_Staffing_Q2_2024.csv", "PBJ_Daily_Nurse_Staffing_Q3_2024.csv", "NH_ProviderInfo_Oct2024.csv"):
+        put(tmp_path / "drop" / name, "x\n")
+    files = offered_files(spark, str(tmp_path / "drop"))
+    landed = landed_quarters(spark, paths.bronze)
+    assert [r.quarter for r in landed.collect()] == ["2024Q2"]
+    todo = assign_files(files, new_quarters(files, landed)).select("name", "quarter").collect()
+    assert sorted(tuple(r) for r in todo) == [
+        ("NH_ProviderInfo_Oct2024.csv", "2024Q3"), ("PBJ_Daily_Nurse_Staffing_Q3_2024.csv", "2024Q3"),
+    ]
+
+
+def test_served_from_written_tables(spark, lake):
+    paths, provider, staffing = lake
+    run_silver(spark, staffing("2024Q2"), provider, paths, "2024Q2")
+    run_gold(spark, paths, "2024Q2")
+    facilities, daily = gold_tables(spark, paths, keep=True)
+    assert kpi_cards(facility_filter(facilities)).first().facilities == 2
+    assert weekly_trend(daily).count() == 2
+    facilities.unpersist()
+
+
 def test_missing_table_is_none(spark, tmp_path):
     assert read_if_exists(spark, str(tmp_path / "nothing")) is None
