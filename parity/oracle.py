@@ -145,7 +145,7 @@ SELECT lpad(CAST(s_suppkey AS VARCHAR),6,'0') AS CCN,
   CAST(1 + s_suppkey % 5 AS DOUBLE) AS overall_rating, CAST(1 + (s_suppkey*3) % 5 AS DOUBLE) AS staffing_rating,
   CAST((s_suppkey*11) % 100 AS DOUBLE) AS nursing_turnover,
   CAST(s_suppkey % 9 AS DOUBLE)/8 AS reported_rn_hrs, CAST(s_suppkey % 23 AS DOUBLE)/8 AS reported_cna_hrs
-FROM supplier WHERE s_suppkey % 17 <> 3"""
+FROM supplier WHERE s_acctbal >= 1000"""
 
 _READ_TEXT = """
 SELECT * REPLACE (CASE WHEN day(WorkDate)=31 THEN NULL ELSE WorkDate END AS WorkDate,

@@ -140,12 +140,13 @@ class Tables:
         )
 
     def provider(self) -> DataFrame:
-        """Provider attributes: some facilities missing, some without a bed count."""
+        """Provider attributes. Facilities with a low balance are missing, and some
+        have no bed count."""
         key = F.col("s_suppkey")
         owner = F.col("s_nationkey") % 3
         return (
             self.read("supplier")
-            .filter(key % 17 != 3)
+            .filter(F.col("s_acctbal") >= 1000)
             .select(
                 _facility_id("s_suppkey").alias("CCN"),
                 F.when(owner == 0, "For profit - Corporation")
