@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from rosterlake.llm.language_id import op2_language_id
+from rosterlake.llm.near_duplicates import op10_near_duplicates
 from rosterlake.llm.packing import op3_best_fit_packing
 from rosterlake.llm.token_counts import op1_token_counts
 
@@ -10,5 +11,6 @@ QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_language_id": op2_language_id,
     "op3_best_fit_packing": op3_best_fit_packing,
+    "op10_near_duplicates": op10_near_duplicates,
 }
 ORACLE: dict[str, str] = {}
