@@ -5,12 +5,14 @@ from __future__ import annotations
 from rosterlake.llm.language_id import op2_language_id
 from rosterlake.llm.near_duplicates import op10_near_duplicates
 from rosterlake.llm.packing import op3_best_fit_packing
+from rosterlake.llm.personal_data import op7_personal_data
 from rosterlake.llm.token_counts import op1_token_counts
 
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_language_id": op2_language_id,
     "op3_best_fit_packing": op3_best_fit_packing,
+    "op7_personal_data": op7_personal_data,
     "op10_near_duplicates": op10_near_duplicates,
 }
 ORACLE: dict[str, str] = {}
