@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from rosterlake.llm.fingerprints import op8_fingerprints
 from rosterlake.llm.language_id import op2_language_id
+from rosterlake.llm.licences import OP4_SQL, op4_license_scan
+from rosterlake.llm.mixing import OP6_SQL, op6_source_mixing
 from rosterlake.llm.near_duplicates import op10_near_duplicates
 from rosterlake.llm.packing import op3_best_fit_packing
 from rosterlake.llm.personal_data import op7_personal_data
@@ -12,7 +15,10 @@ QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_language_id": op2_language_id,
     "op3_best_fit_packing": op3_best_fit_packing,
+    "op4_license_scan": op4_license_scan,
+    "op6_source_mixing": op6_source_mixing,
     "op7_personal_data": op7_personal_data,
+    "op8_fingerprints": op8_fingerprints,
     "op10_near_duplicates": op10_near_duplicates,
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op4_license_scan": OP4_SQL, "op6_source_mixing": OP6_SQL}
