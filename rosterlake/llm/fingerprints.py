@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rosterlake.llm.common import table
-from rosterlake.session import staged
 
 WORDS, ONE_IN = 5, 4
 #: Hash values in use: 48 bits, so a hash is 12 hexadecimal digits.
@@ -68,49 +67,70 @@ def printed(hashes: Column) -> Column:
     return F.array_join(F.transform(hashes, lambda h: F.lpad(F.lower(F.hex(h)), _BITS // 4, "0")), "")
 
 
-def next_ids(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """(doc_id, next_id, take): each different id, the one after it (after the last: the first; null
-    counts as the least), and a quarter of the longest of its texts.
+def _ranges(bare: DataFrame, most: int) -> tuple[list[int], int | None]:
+    """Ids that begin a range, a few dozen rows to each range and at most ``most`` ranges; and the first id of
+    all (None where some id is null: nulls come first)."""
+    n, nulls, least = bare.agg(F.count(F.lit(1)), F.count_if(F.col("doc_id").isNull()), F.min("doc_id")).first()
+    ranges = max(2, min(most, n // 64))
+    shares = ", ".join(f"{i / ranges}D" for i in range(1, ranges))
+    edges = bare.agg(F.expr(f"percentile_approx(doc_id, array({shares}), {max(10_000, 4 * ranges)})")).first()[0]
+    return sorted(set(edges or [])), None if nulls else least
 
-    Ids are dealt out by range, so only the borders of neighbouring ranges, one row for each partition, meet in one place.
-    """
-    ids = docs.groupBy("doc_id").agg(F.max(F.floor(F.length("text") / 4)).cast("int").alias("take"))
-    dealt = staged(spark, ids.repartitionByRange(F.col("doc_id").asc_nulls_first()).withColumn("part", F.spark_partition_id()), "ids")
-    edges = dealt.groupBy("part").agg(F.min(F.struct(F.col("doc_id").isNotNull(), "doc_id")).alias("first")).orderBy("part").collect()
-    follow = [(e["part"], edges[(i + 1) % len(edges)]["first"][1]) for i, e in enumerate(edges)]
-    after = F.lit(None).cast("long")
-    if follow:
-        after = F.create_map(*(F.lit(x) for part, first in follow for x in (part, first)))[F.col("part")].cast("long")
-    order = Window.partitionBy("part").orderBy(F.col("doc_id").asc_nulls_first())
-    last = F.row_number().over(order) == F.count(F.lit(1)).over(Window.partitionBy("part"))
-    return dealt.select("doc_id", F.when(last, after).otherwise(F.lead("doc_id").over(order)).alias("next_id"), "take")
-
-
-def fingerprints(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """Each document's sketch, that of its edited text, and how alike its sketch is to both that and the next document's.
-
-    The edited text has the next document's beginning in place of its last quarter. Rows that share an id each
-    count as that document; the next one's text is then the least of them. A null text is empty. One row for each row.
+
+def with_next(docs: DataFrame, most_ranges: int = 16_384) -> DataFrame:
+    """doc_id, text and sketch of each document beside text and sketch of the next one.
+
+    Ids are cut into ranges at some of the ids themselves. A text moves once, to its range; the first of a
+    range goes to the range before as well (and the first of all to the last), as a guest who is only looked at.
     """
     bare = docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    order = staged(spark, next_ids(spark, bare), "next")
-    # sketched once and dealt out by id once; both joins below read this exchange
-    sketched = bare.withColumn("sketch", sketch(F.col("text"))).repartition("doc_id")
-    begin = order.join(sketched.alias("s"), F.col("next_id").eqNullSafe(F.col("s.doc_id"))).select(
-        order["doc_id"].alias("before"), F.substring(F.col("s.text"), F.lit(1), F.col("take")).alias("begin"), F.col("s.sketch").alias("next_sketch")
-    )
-    begin = begin.groupBy("before").agg(F.min(F.struct("begin", "next_sketch")).alias("b"))
+    edges, least = _ranges(bare, most_ranges)
+    borders = F.expr(f"array({', '.join(f'{e}L' for e in edges)})" if edges else "cast(array() as array<bigint>)")
+
+    def halve(state: Column, _: Column) -> Column:
+        middle = F.floor((state["lo"] + state["hi"]) / 2).cast("int")
+        beyond = F.element_at(borders, middle + 1) <= F.col("doc_id")
+        open_ = state["lo"] < state["hi"]
+        return F.struct(
+            F.when(open_ & beyond, middle + 1).otherwise(state["lo"]).alias("lo"),
+            F.when(open_ & ~beyond, middle).otherwise(state["hi"]).alias("hi"),
+        )
+
+    steps = F.sequence(F.lit(0), F.lit(len(edges).bit_length()))
+    found = F.aggregate(steps, F.struct(F.lit(0).alias("lo"), F.lit(len(edges)).alias("hi")), halve, lambda s: s["lo"])
+    ranged = bare.withColumn("range", F.when(F.col("doc_id").isNull() | F.lit(not edges), 0).otherwise(found))
+    at_edge = (F.col("range") > 0) & (F.try_element_at(borders, F.col("range")) == F.col("doc_id"))
+    at_start = F.col("doc_id").isNull() if least is None else F.col("doc_id") == least
+
+    def place(where: Column, guest: int) -> Column:
+        return F.struct(where.cast("int").alias("range"), F.lit(guest).alias("guest"))
+
+    places = F.array_compact(F.array(
+        place(F.col("range"), 0), F.when(at_edge, place(F.col("range") - 1, 1)), F.when(at_start, place(F.lit(len(edges)), 2))
+    ))
+    moved = ranged.select("doc_id", "text", F.explode(places).alias("p")).select("doc_id", "text", "p.range", "p.guest")
+    sketched = moved.repartition("range").withColumn("sketch", sketch(F.col("text")))
+    order = Window.partitionBy("range").orderBy("guest", F.col("doc_id").asc_nulls_first(), "text")
+    return sketched.select(
+        "doc_id", "text", "sketch", "guest", F.lead("text").over(order).alias("next_text"), F.lead("sketch").over(order).alias("next_sketch")
+    ).filter("guest = 0").drop("guest")
+
+
+def fingerprints(docs: DataFrame) -> DataFrame:
+    """Each document's sketch, that of its edited text, and the next document's sketch.
+
+    The edited text has the next document's beginning in place of its last quarter. Documents are in order of
+    id, null first; rows that share an id, in order of text. A null text is empty. One row for each row.
+    """
     quarter = F.floor(F.length("text") / 4).cast("int")
-    edited = F.concat(F.substring("text", F.lit(1), F.length("text") - quarter), F.substring("b.begin", F.lit(1), quarter))
-    both = sketched.join(begin, F.col("doc_id").eqNullSafe(F.col("before")), "left").select(
-        "doc_id", F.length("text").cast("long").alias("n_chars"), edited.alias("edited"), "sketch", F.col("b.next_sketch").alias("next_sketch")
-    )
+    edited = F.concat(F.substring("text", F.lit(1), F.length("text") - quarter), F.substring("next_text", F.lit(1), quarter))
+    both = with_next(docs).select("doc_id", F.length("text").cast("long").alias("n_chars"), edited.alias("edited"), "sketch", "next_sketch")
     return both.withColumn("edited_sketch", sketch(F.col("edited")))
 
 
 def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every document and its edited text."""
-    found = fingerprints(spark, table(spark, sf_dir, "documents"))
+    found = fingerprints(table(spark, sf_dir, "documents"))
     return found.select(
         "doc_id",
         "n_chars",
