@@ -4,7 +4,7 @@ Written from the definitions, not from the Spark plans. Rounding is spelled out
 both engines give the same bits:
 
 * ``up(x, n)``: half up on the decimal text of a double;
-* ``mean_up`` / ``mean_even``: integer rounding of an exact sum of four-decimal values;
+* ``mean_up`` / ``mean_even``: integer rounding of an exact sum of values with up to eight decimals;
 * ``pct_up`` / ``pct_even``: integer rounding of a ratio of counts.
 """
 
@@ -30,10 +30,13 @@ def up(x: str, n: int) -> str:
     return f"CAST(round(CAST(CAST(({x}) AS VARCHAR) AS DECIMAL(38,20)), {n}) AS DOUBLE)"
 
 
+_SCALE = 8  # decimals of any hour or ratio in the fixture
+
+
 def even(x: str, n: int) -> str:
-    """Half even for values with at most four decimals."""
-    k = f"CAST(round(({x}) * 10000) AS BIGINT)"
-    return _half_even(f"abs({k})", str(10 ** (4 - n)), n, f"sign({k})")
+    """Half even for values with at most eight decimals."""
+    k = f"CAST(round(CAST(({x}) AS DOUBLE) * {10 ** _SCALE}) AS HUGEINT)"
+    return _half_even(f"abs({k})", str(10 ** (_SCALE - n)), n, f"sign({k})")
 
 
 def _half_even(num: str, den: str, digits: int, sign: str = "1") -> str:
@@ -43,33 +46,33 @@ def _half_even(num: str, den: str, digits: int, sign: str = "1") -> str:
     return f"(CAST(({sign}) * ({q} + {step}) AS DOUBLE) / {10 ** digits})"
 
 
-def _ten_thousandths(x: str) -> str:
-    return f"CAST(sum(CAST(({x}) AS DECIMAL(18,4)))*10000 AS HUGEINT)"
+def _units(x: str) -> str:
+    return f"CAST(sum(CAST(({x}) AS DECIMAL(28,{_SCALE})))*{10 ** _SCALE} AS HUGEINT)"
 
 
 def mean_up(x: str, d: int) -> str:
-    s, n, m = _ten_thousandths(x), f"count({x})", 10 ** (4 - d)
+    s, n, m = _units(x), f"count({x})", 10 ** (_SCALE - d)
     return f"(CAST((2*{s} + {n}*{m}) // (2*{n}*{m}) AS DOUBLE) / {10 ** d})"
 
 
 def mean_even(x: str, d: int) -> str:
     return (
         f"CASE WHEN count({x}) > 0 THEN "
-        f"{_half_even(_ten_thousandths(x), f'nullif(count({x}),0)*{10 ** (4 - d)}', d)} END"
+        f"{_half_even(_units(x), f'nullif(count({x}),0)*{10 ** (_SCALE - d)}', d)} END"
     )
 
 
 def sum_up(x: str, d: int) -> str:
-    s, m = _ten_thousandths(x), 10 ** (4 - d)
+    s, m = _units(x), 10 ** (_SCALE - d)
     return f"(CAST((2*{s} + {m}) // (2*{m}) AS DOUBLE) / {10 ** d})"
 
 
-def mean(x: str, scale: int = 4) -> str:
-    if scale > 4:
-        dec = f"CAST(round(CAST(CAST(({x}) AS VARCHAR) AS DECIMAL(38,20)), {scale}) AS DECIMAL(18,{scale}))"
+def mean(x: str, quotients: bool = False) -> str:
+    if quotients:
+        dec = f"CAST(round(CAST(CAST(({x}) AS VARCHAR) AS DECIMAL(38,20)), 18) AS DECIMAL(38,18))"
     else:
-        dec = f"CAST(({x}) AS DECIMAL(18,{scale}))"
-    return f"(CAST(sum({dec}) AS DOUBLE) / count({x}))"
+        dec = f"CAST(({x}) AS DECIMAL(28,{_SCALE}))"
+    return f"(CAST(CAST(sum({dec}) AS VARCHAR) AS DOUBLE) / count({x}))"
 
 
 def pct_up(z: str, n: str, d: int) -> str:
@@ -110,7 +113,7 @@ GROUP BY 1, 2"""
 _HOUR_SOURCES = {
     "RNDON": ("lines*8", "0", 1),
     "RNadmin": ("lineno", "lineno_a", 4),
-    "RN": ("tax", "tax_r", 8),
+    "RN": ("(8*tax+lineno)", "(8*tax_r+lineno_a)", 64),
     "LPNadmin": ("part", "part_f", 2),
     "LPN": ("(10*qty-disc)", "(10*qty_f-disc_f)", 8),
     "CNA": ("disc", "disc_r", 2),
@@ -322,7 +325,7 @@ def _each(rows: list[str]) -> str:
 
 
 def _text_of(name: str) -> str:
-    return f"CAST(CAST({name} AS DECIMAL(18,3)) AS VARCHAR) AS {name}"
+    return f"CAST(CAST({name} AS DECIMAL(18,8)) AS VARCHAR) AS {name}"
 
 
 def _describe(name: str) -> str:
@@ -336,9 +339,9 @@ def _describe(name: str) -> str:
 
 
 _FACILITY_MEANS = (
-    f"SELECT PROVNUM, {mean('Hrs_CNA/MDScensus', 10)} AS avg_CNA_ratio, "
-    f"{mean('Hrs_RN/MDScensus', 10)} AS avg_RN_ratio, "
-    f"{mean('(Hrs_RN+Hrs_LPN+Hrs_CNA)/MDScensus', 10)} AS avg_total_ratio, "
+    f"SELECT PROVNUM, {mean('Hrs_CNA/MDScensus', True)} AS avg_CNA_ratio, "
+    f"{mean('Hrs_RN/MDScensus', True)} AS avg_RN_ratio, "
+    f"{mean('(Hrs_RN+Hrs_LPN+Hrs_CNA)/MDScensus', True)} AS avg_total_ratio, "
     f"{mean('MDScensus')} AS avg_census, count(WorkDate) AS days_in_quarter "
     "FROM pbj WHERE MDScensus >= 10 GROUP BY 1"
 )
@@ -471,7 +474,7 @@ ORACLE: dict[str, str] = {
     "contract_by_state": sql(f"""SELECT STATE, {mean("avg_contracted_rn_ratio")} AS avg_contracted,
   {sum_up("total_employed_RN_hours", 1)} AS avg_employed, {sum_up("total_contracted_RN_hours", 1)} AS avg_contract_hrs,
   count(PROVNUM) AS facility_count,
-  {_half_even(_ten_thousandths("avg_contracted_rn_ratio"), "count(avg_contracted_rn_ratio)*10", 1)} AS contracted_pct
+  {_half_even(_units("avg_contracted_rn_ratio"), f"count(avg_contracted_rn_ratio)*{10 ** (_SCALE - 3)}", 1)} AS contracted_pct
 FROM shown GROUP BY 1 ORDER BY contracted_pct DESC, STATE LIMIT 20""", "shown"),
     "cna_by_state": sql(
         f"SELECT STATE, {mean('avg_CNA_hrs_per_patient')} AS avg_cna, count(PROVNUM) AS facility_count "
@@ -530,10 +533,28 @@ FROM range(50) r(b), (SELECT min(least(MDScensus,300)) AS lo, max(least(MDScensu
         f"FROM (SELECT {_TIER_OF} AS tier FROM pbj)", "pbj"),
     "chronic_offenders": sql(
         f"SELECT PROVNUM, PROVNAME, STATE, count(WorkDate) AS days_below_minimum, "
-        f"{mean(_RATIO, 10)} AS avg_CNA_ratio, {mean('MDScensus')} AS avg_patients FROM pbj "
+        f"{mean(_RATIO, True)} AS avg_CNA_ratio, {mean('MDScensus')} AS avg_patients FROM pbj "
         f"WHERE {_TIER_OF} IN ('critical_no_staff', 'critical_understaffed', 'below_cms_minimum') "
         "GROUP BY 1, 2, 3 ORDER BY 4 DESC, 1 LIMIT 15", "pbj"),
     "facility_means": sql(_FACILITY_MEANS, "pbj"),
+    "incremental_audit": sql(f"SELECT {_JOINED_COLUMNS} FROM typed_joined WHERE CCN IS NULL", "typed_joined"),
+    "audit_table": sql(f"SELECT {_JOINED_COLUMNS} FROM joined WHERE CCN IS NULL", "joined"),
+    "gold_scan": sql(
+        "SELECT facility.*, n AS stored_days FROM facility JOIN (SELECT PROVNUM, quarter, count(WorkDate) AS n "
+        "FROM daily GROUP BY 1, 2) USING (PROVNUM, quarter)", "facility", "daily"),
+    "table_size": sql('SELECT count(*) AS "rows", CAST(30 AS INTEGER) AS "columns" FROM facility', "facility"),
+    "schema_contract": _each([
+        f"SELECT '{n}' AS column_name, '{'missing' if n == 'quarter' else 'ok'}' AS status"
+        for n in [*STAFFING_COLUMNS, *_PROVIDER_NAMES, "CNA_hrs_per_patient", "RN_hrs_per_patient",
+                  "total_hrs_per_patient", "contracted_rn_ratio", "staffing_tier", "quarter"]
+    ] + ["SELECT 'surprise' AS column_name, 'unexpected' AS status"]),
+    "discover_files": sql(
+        "SELECT DISTINCT name, fresh.quarter FROM (SELECT regexp_replace(name, '-[0-9]+\\.csv$', '.csv') AS name, quarter "
+        "FROM files) f JOIN fresh ON f.quarter IS NULL OR f.quarter = fresh.quarter", "files", "fresh"),
+    "generated_quarter": sql(
+        "SELECT * REPLACE (CAST(CASE WHEN (month(WorkDate) = 4) OR (month(WorkDate) IN (5, 6) AND day(WorkDate) <= 10) "
+        f"THEN WorkDate + INTERVAL 3 MONTH ELSE WorkDate END AS DATE) AS WorkDate, '{SHIFTED_LABEL}' AS CY_Qtr) "
+        f"FROM (SELECT * FROM pbj ORDER BY PROVNUM, WorkDate LIMIT {SAMPLE_ROWS})", "pbj"),
     "incremental_load": sql(f"SELECT {_SILVER_COLUMNS} FROM typed_silver", "typed_silver"),
     "staffing_rating_corr": sql(
         "SELECT count(*) AS facilities, "
@@ -541,3 +562,5 @@ FROM range(50) r(b), (SELECT min(least(MDScensus,300)) AS lo, max(least(MDScensu
                     for n in ("avg_CNA_ratio", "avg_RN_ratio", "avg_total_ratio"))
         + f" FROM ({_FACILITY_MEANS}) JOIN prov ON PROVNUM = CCN", "pbj", "prov"),
 }
+ORACLE["validate_facility_summary"] = ORACLE["facility_compliance_rate"]
+ORACLE["validate_staffing_metrics"] = ORACLE["daily_compliance_rate"]

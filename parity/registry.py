@@ -13,6 +13,7 @@ from rosterlake.config import (
     FACILITY_KEY,
     PROVIDER_FIELDS,
     STAFFING_COLUMNS,
+    TablePaths,
 )
 from rosterlake.functions.calendar import quarter_from_name
 from rosterlake.operators import clean, generate, merge, profile
@@ -49,21 +50,32 @@ def query(build: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame]
 
 # --- sources -------------------------------------------------------------------
 
-def land_staffing(t: Tables) -> str:
-    """Write the staffing text as landed files, one folder per quarter."""
-    bronze = scratch_dir(t.spark, "bronze")
+def land(rows: DataFrame, bronze: str) -> None:
+    """Write rows as landed files, one folder per quarter."""
     (
-        t.staffing_text().withColumn("quarter", F.col("CY_Qtr"))
-        .hint("rebalance", "quarter")
-        .write.partitionBy("quarter").option("header", True)
+        rows.hint("rebalance", "quarter")
+        .write.mode("append").partitionBy("quarter").option("header", True)
         .option("encoding", "ISO-8859-1").csv(bronze)
     )
+
+
+def land_staffing(t: Tables) -> str:
+    """The staffing text as landed files."""
+    bronze = scratch_dir(t.spark, "bronze")
+    land(t.staffing_text().withColumn("quarter", F.col("CY_Qtr")), bronze)
     return bronze
 
 
 @query
 def scan_staffing(t: Tables) -> DataFrame:
-    return text.scan_staffing(t.spark, land_staffing(t)).select(*STAFFING_COLUMNS, "quarter")
+    """Files of two headers in one landing folder: half the quarters have a moved and an extra column."""
+    bronze = scratch_dir(t.spark, "bronze")
+    late = F.substring("quarter", 6, 1).isin("3", "4")
+    rows = t.staffing_text().withColumn("quarter", F.col("CY_Qtr"))
+    moved = [STAFFING_COLUMNS[-1], "Extra", *STAFFING_COLUMNS[:-1], "quarter"]
+    land(rows.filter(~late), bronze)
+    land(rows.filter(late).withColumn("Extra", F.lit("x")).select(*moved), bronze)
+    return text.scan_staffing(t.spark, bronze).select(*STAFFING_COLUMNS, "quarter")
 
 
 @query
@@ -78,7 +90,10 @@ def scan_provider(t: Tables) -> DataFrame:
 
 @query
 def silver_quarter_scan(t: Tables) -> DataFrame:
-    return layers.in_quarter(t.silver(), SCAN_QUARTER)
+    """From stored Silver, of which only one quarter's folders are read."""
+    path = scratch_dir(t.spark, "silver")
+    sinks.insert_only(t.spark, t.silver(), path, DAY_KEY, silver_plan.SILVER_PARTITIONS, "WorkDate")
+    return layers.read_quarter(t.spark, path, SCAN_QUARTER)
 
 
 @query
@@ -97,6 +112,21 @@ def assign_files(t: Tables) -> DataFrame:
     return manifests.assign_files(files, manifests.new_quarters(files, t.landed_quarters()))
 
 
+@query
+def discover_files(t: Tables) -> DataFrame:
+    """Offered files and landed quarters, both listed from written folders. The drop folder has one
+    entry for each name without its number, so it stays small at any scale."""
+    drop, bronze = scratch_dir(t.spark, "drop"), scratch_dir(t.spark, "landed")
+    stems = t.manifest().select(F.regexp_replace("name", r"-[0-9]+\.csv$", ".csv").alias("name")).distinct()
+    stems.select(F.lit("x").alias("value"), "name").write.partitionBy("name").text(drop)
+    t.landed_quarters().select(F.lit("x").alias("value"), "quarter").write.partitionBy("quarter").text(bronze)
+    offered = manifests.offered_files(t.spark, drop).select(
+        F.regexp_extract("id", "name=([^/]+)/", 1).alias("name")
+    )
+    fresh = manifests.new_quarters(offered, manifests.landed_quarters(t.spark, bronze))
+    return manifests.assign_files(offered, fresh).select("name", "quarter")
+
+
 @query
 def sample_n(t: Tables) -> DataFrame:
     return profile.first_rows(t.staffing(), SAMPLE_ROWS)
@@ -162,6 +192,54 @@ def audit_unmatched(t: Tables) -> DataFrame:
     return clean.unmatched(t.joined())
 
 
+@query
+def audit_table(t: Tables) -> DataFrame:
+    """The audit log as written and read back."""
+    path = scratch_dir(t.spark, "audit")
+    sinks.append_if_any(clean.unmatched(t.joined()), path)
+    return layers.read_table(t.spark, path)
+
+
+def stored_gold(t: Tables) -> TablePaths:
+    """Both Gold tables as the jobs write them."""
+    paths = TablePaths(*[scratch_dir(t.spark, name) for name in ("bronze", "silver", "gold", "audit")])
+    sinks.upsert(t.spark, t.facilities(), paths.facility_summary, FACILITY_KEY, "quarter")
+    sinks.insert_only(
+        t.spark, t.metrics(), paths.staffing_metrics, DAY_KEY, silver_plan.SILVER_PARTITIONS, "WorkDate"
+    )
+    return paths
+
+
+@query
+def gold_scan(t: Tables) -> DataFrame:
+    """Stored facility rows beside their stored days' number."""
+    facilities, daily = layers.gold_tables(t.spark, stored_gold(t))
+    days = daily.groupBy("PROVNUM", "quarter").agg(F.count("WorkDate").alias("stored_days"))
+    return facilities.join(days, ["PROVNUM", "quarter"]).select(*facilities.columns, "stored_days")
+
+
+@query
+def validate_facility_summary(t: Tables) -> DataFrame:
+    return checks.validate_facility_summary(t.spark, stored_gold(t).facility_summary)
+
+
+@query
+def validate_staffing_metrics(t: Tables) -> DataFrame:
+    return checks.validate_staffing_metrics(t.spark, stored_gold(t).staffing_metrics)
+
+
+@query
+def table_size(t: Tables) -> DataFrame:
+    return checks.table_size(t.spark, stored_gold(t).facility_summary)
+
+
+@query
+def schema_contract(t: Tables) -> DataFrame:
+    """Each column of Silver with its standing; one is taken away and one put in to show both."""
+    given = t.silver().drop("quarter").withColumn("surprise", F.lit(1))
+    return clean.contract_report(given, silver_plan.SILVER_COLUMNS)
+
+
 @query
 def validate_silver(t: Tables) -> DataFrame:
     path = scratch_dir(t.spark, "silver")
@@ -440,12 +518,33 @@ def staffing_rating_corr(t: Tables) -> DataFrame:
 
 # --- incremental --------------------------------------------------------------------------------
 
+def stream(t: Tables, silver: str, audit: str) -> None:
+    """Several micro-batches; Spark names the landed files itself."""
+    load_new_days(
+        t.spark, land_staffing(t), t.provider(), silver, scratch_dir(t.spark, "offsets"), audit,
+        files_per_batch=16, files="part-*.csv",
+    )
+
+
 @query
 def incremental_load(t: Tables) -> DataFrame:
     """Landed text files through the stream into Silver, in several micro-batches."""
-    bronze = land_staffing(t)
     path = scratch_dir(t.spark, "silver")
-    load_new_days(
-        t.spark, bronze, t.provider(), path, scratch_dir(t.spark, "offsets"), files_per_batch=16
-    )
+    stream(t, path, scratch_dir(t.spark, "audit"))
     return layers.read_table(t.spark, path)
+
+
+@query
+def incremental_audit(t: Tables) -> DataFrame:
+    """What the same stream leaves in the audit log."""
+    path = scratch_dir(t.spark, "audit")
+    stream(t, scratch_dir(t.spark, "silver"), path)
+    return layers.read_table(t.spark, path).drop("batch")
+
+
+@query
+def generated_quarter(t: Tables) -> DataFrame:
+    """A test delivery written as CSV and read as any other."""
+    path = scratch_dir(t.spark, "generated")
+    generate.write_next_quarter(t.staffing(), path, SHIFTED_LABEL, SAMPLE_ROWS)
+    return clean.type_staffing(text.scan_staffing(t.spark, path))

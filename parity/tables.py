@@ -84,7 +84,8 @@ class Tables:
         hours = {
             "RNDON": (F.col("lines") * 8, zero, 1),
             "RNadmin": (F.col("lineno"), F.col("lineno_a"), 4),
-            "RN": (F.col("tax"), F.col("tax_r"), 8),
+            # up to six decimals, finer than the whole units that sums are kept in
+            "RN": (F.col("tax") * 8 + F.col("lineno"), F.col("tax_r") * 8 + F.col("lineno_a"), 64),
             "LPNadmin": (F.col("part"), F.col("part_f"), 2),
             "LPN": (F.col("qty") * 10 - F.col("disc"), F.col("qty_f") * 10 - F.col("disc_f"), 8),
             "CNA": (F.col("disc"), F.col("disc_r"), 2),
@@ -115,7 +116,7 @@ class Tables:
         as ``72.0`` or left empty, the 31st of a month unreadable."""
         day = F.dayofmonth("WorkDate")
         census = F.col("MDScensus").cast("string")
-        text = {name: F.col(name).cast("decimal(18,3)").cast("string") for name in HOUR_COLUMNS}
+        text = {name: F.col(name).cast("decimal(18,8)").cast("string") for name in HOUR_COLUMNS}
         text["MDScensus"] = (
             F.when(day % 10 == 7, F.lit(None))
             .when(day % 10 == 3, F.concat(census, F.lit(".0")))

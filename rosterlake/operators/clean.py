@@ -78,6 +78,15 @@ def duplicate_providers(provider: DataFrame) -> DataFrame:
     return provider.groupBy("CCN").agg(row_count().alias("rows")).filter("rows > 1")
 
 
+def contract_report(table: DataFrame, expected: tuple[str, ...]) -> DataFrame:
+    """(column_name, status) of every expected or present column: ok, missing or unexpected."""
+    names = [*expected, *[name for name in table.columns if name not in expected]]
+    rows = [
+        (n, "missing" if n not in table.columns else "ok" if n in expected else "unexpected") for n in names
+    ]
+    return table.sparkSession.createDataFrame(rows, "column_name string, status string")
+
+
 def require_columns(table: DataFrame, expected: tuple[str, ...]) -> DataFrame:
     """Stop on a missing or unexpected column (schema contract of Silver)."""
     missing = [name for name in expected if name not in table.columns]

@@ -128,8 +128,15 @@ def duplicate_keys(staffing: DataFrame, keys: tuple[str, ...] = DAY_KEY) -> Data
 
 # --- values ----------------------------------------------------------------------
 
+def nan_as_null(table: DataFrame) -> DataFrame:
+    """Profiles count a NaN as missing, in every number alike."""
+    floats = [name for name, kind in table.dtypes if kind in ("double", "float")]
+    return table.withColumns({n: F.when(~F.isnan(F.col(f"`{n}`")), F.col(f"`{n}`")) for n in floats})
+
+
 def missing_report(table: DataFrame) -> DataFrame:
-    """Columns with NULLs: how many, and what share of all rows."""
+    """Columns with NULLs (or NaN): how many, and what share of all rows."""
+    table = nan_as_null(table)
     report = _per_column(table, {
         name: [
             F.count_if(F.col(f"`{name}`").isNull()).alias("missing_count"),
@@ -143,6 +150,7 @@ def missing_report(table: DataFrame) -> DataFrame:
 
 def zero_report(table: DataFrame, columns: tuple[str, ...] = HOUR_COLUMNS) -> DataFrame:
     """Zeros per hour column, and the mean of what is above zero."""
+    table = nan_as_null(table)
     rows = row_count()
 
     def measures(name: str) -> list[Column]:
@@ -165,6 +173,7 @@ def describe_stats(
     table: DataFrame, columns: tuple[str, ...] = STATS_COLUMNS, digits: int = 2
 ) -> DataFrame:
     """Count, mean, sample deviation, extremes and exact quartiles per column."""
+    table = nan_as_null(table)
     stats = _per_column(table, {
         name: [
             F.count(name).alias("count"),
@@ -187,6 +196,7 @@ def outlier_check(
     table: DataFrame, columns: tuple[str, ...] = STATS_COLUMNS[1:], settings: Settings = DEFAULTS
 ) -> DataFrame:
     """Largest value and rows above the plausible daily hours, per column."""
+    table = nan_as_null(table)
     return _per_column(table, {
         name: [
             F.max(name).alias("max_value"),

@@ -27,7 +27,7 @@ from rosterlake.operators.clean import (
     unmatched,
 )
 from rosterlake.operators.joins import fits_broadcast
-from rosterlake.session import staged
+from rosterlake.session import scratch, staged
 from rosterlake.sinks.tables import append_rows, insert_only
 from rosterlake.sources.csv import scan_provider, scan_staffing
 
@@ -86,25 +86,30 @@ def run_silver(
 ) -> SilverReport:
     """Load one delivery: audit its unmatched rows, add its new days to Silver.
 
-    The text is parsed once, into a columnar table in the shared scratch folder. Both
-    outputs and the counts read that table, so none of them goes back to the CSV and a
-    lost executor repeats only its own tasks.
+    The text is parsed once and joined once, each into a columnar table in the shared scratch
+    folder. Counts, audit and Silver read those, so none of them goes back to the CSV or joins
+    again, and a lost executor repeats only its own tasks. The copies are removed at the end.
+
+    Silver can be loaded again without harm. The audit log is an append: a rerun adds its rows again.
     """
-    staffing = staged(spark, type_staffing(scan_staffing(spark, staffing_csv)), "typed-staffing")
-    provider = select_provider(scan_provider(spark, provider_csv))
-    small = fits_broadcast(provider, settings)
-    joined = join_provider(enough_census(staffing, settings), provider, small, settings)
-
-    counts = excluded_count(staffing, settings).first()
-    split = joined.agg(
-        F.count("CCN").alias("matched_rows"),
-        F.count_if(F.col("CCN").isNull()).alias("unmatched_rows"),
-    ).first()
-    if split.unmatched_rows:
-        append_rows(unmatched(joined), paths.audit)
-
-    silver = require_columns(silver_rows(joined, quarter, settings), SILVER_COLUMNS)
-    insert_only(spark, silver, paths.silver, DAY_KEY, SILVER_PARTITIONS, range_column="WorkDate")
+    with scratch(spark, "silver-run") as folder:
+        staffing = staged(
+            spark, type_staffing(scan_staffing(spark, staffing_csv).select(*STAFFING_COLUMNS)), "typed", folder
+        )
+        provider = select_provider(scan_provider(spark, provider_csv))
+        small = fits_broadcast(provider, settings)
+        joined = staged(
+            spark, join_provider(enough_census(staffing, settings), provider, small, settings), "joined", folder
+        )
+        counts = excluded_count(staffing, settings).first()
+        split = joined.agg(
+            F.count("CCN").alias("matched_rows"),
+            F.count_if(F.col("CCN").isNull()).alias("unmatched_rows"),
+        ).first()
+        if split.unmatched_rows:
+            append_rows(unmatched(joined), paths.audit)
+        silver = require_columns(silver_rows(joined, quarter, settings), SILVER_COLUMNS)
+        insert_only(spark, silver, paths.silver, DAY_KEY, SILVER_PARTITIONS, range_column="WorkDate")
     return SilverReport(
         raw_rows=counts.raw_rows,
         excluded_rows=counts.excluded_rows,

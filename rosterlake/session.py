@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,24 +30,46 @@ def build_session(app: str = "rosterlake", master: str | None = None, **conf: ob
 
 
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder below the cluster's shared checkpoint folder.
+    """A fresh folder name below the shared folder that ``spark.checkpoint.dir`` names.
 
-    Only a session without ``spark.checkpoint.dir`` (tests, a laptop) gets a
-    machine-local one, which then becomes that session's setting.
+    The setting is required: a folder of one machine's own would be written by one
+    executor and missed by the others.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = tempfile.mkdtemp(prefix="rosterlake-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        raise ValueError(
+            "spark.checkpoint.dir is not set: name a folder that driver and executors share"
+        )
     return f"{base.rstrip('/')}/rosterlake/{purpose}-{uuid.uuid4().hex}"
 
 
-def staged(spark: SparkSession, rows: DataFrame, purpose: str) -> DataFrame:
+def _file_system(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+@contextmanager
+def scratch(spark: SparkSession, purpose: str) -> Iterator[str]:
+    """A scratch folder for staged copies whose last reader ends inside the block, which removes it."""
+    folder = scratch_dir(spark, purpose)
+    try:
+        yield folder
+    finally:
+        files, place = _file_system(spark, folder)
+        files.delete(place, True)
+
+
+def staged(spark: SparkSession, rows: DataFrame, purpose: str, folder: str | None = None) -> DataFrame:
     """``rows`` written once to shared scratch and read back.
 
     For results several jobs are about to read: they share one computation, and a
-    lost executor costs its own tasks rather than the whole lineage.
+    lost executor costs its own tasks rather than the whole lineage. The copy lies in
+    ``folder`` (of a ``scratch`` block); without one it goes when the driver ends, since
+    whoever gets the rows may read them at any time until then.
     """
-    path = scratch_dir(spark, purpose)
+    path = f"{folder}/{purpose}-{uuid.uuid4().hex}" if folder else scratch_dir(spark, purpose)
     rows.write.parquet(path)
+    if not folder:
+        files, place = _file_system(spark, path)
+        files.deleteOnExit(place)
     return spark.read.schema(rows.schema).parquet(path)

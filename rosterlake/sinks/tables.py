@@ -12,9 +12,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rosterlake.functions.calendar import quarter_label
 from rosterlake.operators.merge import check_unambiguous, merge_upsert, rows_to_insert
-from rosterlake.session import staged
-from rosterlake.sources.tables import read_if_exists
+from rosterlake.session import scratch, staged
+from rosterlake.sources.tables import DAY_QUARTER, read_if_exists
 
 
 def _by_partition(rows: DataFrame, partitions: Sequence[str]) -> DataFrame:
@@ -59,21 +60,26 @@ def insert_only(
 ) -> None:
     """Add the source rows whose key the table lacks; create the table on first use.
 
-    Safe to run again after a failure: rows that made it are then held. With
-    ``range_column``, one of the keys, the table is only read between the smallest and
-    the largest value in the source, since no other row can match. A delivery of new days
-    finds nothing there and is written without being shuffled for the key comparison.
+    Safe to run again after a failure: rows that made it are then held. With ``range_column``,
+    a date among the keys, the table gets one more partition column, its quarter: equal
+    dates share it, so only the source's quarters of the table are listed and read. A delivery of a new
+    quarter finds nothing there and is written without being shuffled for the key comparison.
+    A NULL date matches nothing, as before.
     """
-    target = read_if_exists(spark, path, fmt)
+    target = read_if_exists(spark, path, fmt, derived=True)
+    if range_column and (target is None or DAY_QUARTER in target.columns):
+        source = source.withColumn(
+            DAY_QUARTER, F.concat(F.lit("d"), quarter_label(F.col(range_column)))
+        )
+        partitions = [DAY_QUARTER, *partitions]
     if target is None:
         create_table(source, path, partitions, fmt)
         return
-    if range_column and not null_safe:
-        span = source.agg(
-            F.min(range_column).alias("lo"), F.max(range_column).alias("hi")
-        ).first()
-        # No value at all: every key is NULL somewhere, and nothing can match.
-        target = target.filter(F.col(range_column).between(F.lit(span.lo), F.lit(span.hi)))
+    if DAY_QUARTER in target.columns:
+        # at most as many as there are quarters between two dates
+        spans = [row[0] for row in source.select(DAY_QUARTER).distinct().collect()]
+        held = F.col(DAY_QUARTER).isin([m for m in spans if m is not None])
+        target = target.filter(held | F.col(DAY_QUARTER).isNull() if null_safe and None in spans else held)
     fresh = source if target.isEmpty() else rows_to_insert(target, source, keys, null_safe)
     (
         _by_partition(fresh, partitions)
@@ -93,30 +99,35 @@ def upsert(
 
     ``partition`` must be one of ``keys``: then a matched row never changes partition,
     only the source's partitions are read and rewritten, and none of them can be left
-    empty. Running it again gives the same table.
+    empty. A source that repeats a key raises, on the first load too. Running it again gives the
+    same table, unless a run stopped while its commit was replacing partition folders: Parquet
+    replaces them one by one, and rows of such a partition that the source lacks are then lost.
     """
     if partition not in keys:
         raise ValueError(f"partition column {partition!r} must be part of the key {keys}")
-    target = read_if_exists(spark, path, fmt)
-    if target is None:
-        create_table(source, path, [partition], fmt)
-        return
-    source = staged(spark, source, "upsert-source")
-    touched = [row[0] for row in source.select(partition).distinct().collect()]
-    labels = [value for value in touched if value is not None]
-    affected = F.col(partition).isin(*labels) if labels else F.lit(False)
-    if len(labels) < len(touched):
-        affected = affected | F.col(partition).isNull()
-    old = target.filter(affected)
-    check_unambiguous(old, source, keys)
-    (
-        _by_partition(merge_upsert(old, source, keys), [partition])
-        .write.format(fmt).mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition).save(path)
-    )
+    with scratch(spark, "upsert") as folder:
+        source = staged(spark, source, "source", folder)
+        check_unambiguous(source, keys)
+        target = read_if_exists(spark, path, fmt)
+        if target is None:
+            create_table(source, path, [partition], fmt)
+            return
+        touched = [row[0] for row in source.select(partition).distinct().collect()]
+        labels = [value for value in touched if value is not None]
+        affected = F.col(partition).isin(*labels) if labels else F.lit(False)
+        if len(labels) < len(touched):
+            affected = affected | F.col(partition).isNull()
+        (
+            _by_partition(merge_upsert(target.filter(affected), source, keys), [partition])
+            .write.format(fmt).mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(partition).save(path)
+        )
 
 
 def export_csv(rows: DataFrame, path: str, encoding: str = "UTF-8") -> None:
-    """Header CSV, one file per task, in the order of the rows."""
-    rows.write.mode("overwrite").option("header", True).option("encoding", encoding).csv(path)
+    """Header CSV, one file per task, in the order of the rows; quotes in a text are doubled."""
+    (
+        rows.write.mode("overwrite").option("header", True)
+        .option("encoding", encoding).option("escape", '"').csv(path)
+    )

@@ -5,6 +5,7 @@ A manifest is any DataFrame with a ``name`` column (one row per file offered).
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,11 +26,16 @@ def offered_files(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def landed_quarters(spark: SparkSession, bronze: str) -> DataFrame:
-    """The ``quarter=<q>`` folders of the landing area that hold files."""
-    return (
-        spark.read.format("binaryFile").load(bronze)
-        .select(F.col("quarter").cast("string").alias("quarter")).distinct()
-    )
+    """The ``quarter=<q>`` folders of the landing area that hold files; none before the first landing."""
+    try:
+        files = spark.read.format("binaryFile").load(bronze)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        files = None
+    if files is None or "quarter" not in files.columns:
+        return spark.createDataFrame([], "quarter string")
+    return files.select(F.col("quarter").cast("string").alias("quarter")).distinct()
 
 
 def with_quarter(manifest: DataFrame) -> DataFrame:

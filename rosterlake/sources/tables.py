@@ -8,14 +8,24 @@ from pyspark.sql import functions as F
 
 from rosterlake.config import TablePaths
 
-def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    return spark.read.format(fmt).load(path)
 
+#: Partition column that the insert-only writer derives from a table's date: text, part of no key, and
+#: not part of what readers get.
+DAY_QUARTER = "work_quarter"
 
-def read_if_exists(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame | None:
+
+def read_table(spark: SparkSession, path: str, fmt: str = "parquet", derived: bool = False) -> DataFrame:
+    """The table as written; ``derived`` keeps the writer's own partition column."""
+    table = spark.read.format(fmt).load(path)
+    return table if derived else table.drop(DAY_QUARTER)
+
+
+def read_if_exists(
+    spark: SparkSession, path: str, fmt: str = "parquet", derived: bool = False
+) -> DataFrame | None:
     """The table, or None when nothing has been written there yet."""
     try:
-        return read_table(spark, path, fmt)
+        return read_table(spark, path, fmt, derived)
     except AnalysisException as error:
         if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA", "DELTA_MISSING_DELTA_TABLE"):
             return None

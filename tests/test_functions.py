@@ -157,3 +157,26 @@ def test_rounding_modes_and_empty_groups(spark):
         numeric.quotient_mean(F.col("x")).alias("e"),
     ).first()
     assert tuple(empty) == (None,) * 5
+
+
+def test_sums_and_means_keep_every_value(spark):
+    def of(values, kind="double"):
+        frame = spark.createDataFrame([(v,) for v in values], f"x {kind}")
+        return frame.agg(
+            numeric.exact_sum("x", 1).alias("s"), numeric.exact_mean("x", 4).alias("m"),
+            numeric.full_mean("x").alias("f"), numeric.quotient_mean(F.col("x")).alias("q"),
+        ).first()
+
+    large = of([1e15, 100.0])
+    assert (large.s, large.m, large.f, large.q) == (1e15 + 100, 500000000000050.0, 500000000000050.0, 500000000000050.0)
+    assert of([1e15]).m == 1e15
+    fine = of([0.00004, 0.00004])
+    assert (fine.f, fine.q) == (0.00004, 0.00004) and fine.m == 0.0
+    assert of([0.00004, 1.0]).f == pytest.approx(0.50002)
+    endless = of([float("inf"), 1.0])
+    assert endless.s == endless.m == endless.f == endless.q == float("inf")
+    assert tuple(of([250_000, 1], "int")) == (250001.0, 125000.5, 125000.5, 125000.5)
+    assert of([1e9, 2e9]).q == 1.5e9
+    assert tuple(of([9e11] * 20_000)) == (1.8e16, 9e11, 9e11, 9e11)
+    assert tuple(of([float("nan"), None])) == (None, None, None, None)
+    assert of([float("nan"), 2.0]).m == 2.0

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from rosterlake.config import DEFAULTS, HOUR_COLUMNS, PROVIDER_FIELDS, STAFFING_COLUMNS
 from rosterlake.operators import clean
 from rosterlake.operators.joins import fits_broadcast, hot_keys
-from rosterlake.sources.csv import scan_provider, scan_staffing
+from rosterlake.sources.csv import MissingColumns, scan_provider, scan_staffing
 
 PROVIDER_SCHEMA = ", ".join(f"{name} {kind}" for name, kind in PROVIDER_FIELDS.values())
 
@@ -36,11 +36,24 @@ def test_csv_is_latin1_text_with_leading_zeros(spark, tmp_path):
     assert typed.Hrs_MedAide_ctr is None
 
 
-def test_csv_with_other_columns_is_refused(spark, tmp_path):
-    header = [STAFFING_COLUMNS[1], STAFFING_COLUMNS[0], *STAFFING_COLUMNS[2:]]
-    path = write_csv(tmp_path / "s", header, ["x"] * len(header))
-    with pytest.raises(Exception, match="CSV_HEADER|header|Header"):
-        scan_staffing(spark, path).collect()
+def test_csv_columns_are_found_by_name(spark, tmp_path):
+    """An extra and a moved column, and a file of another header in the same load."""
+    moved = [STAFFING_COLUMNS[1], "Extra", STAFFING_COLUMNS[0], *STAFFING_COLUMNS[2:]]
+    row = {name: name[:3] for name in STAFFING_COLUMNS} | {"Extra": "?"}
+    paths = [
+        write_csv(tmp_path / "a", STAFFING_COLUMNS, [row[n] for n in STAFFING_COLUMNS]),
+        write_csv(tmp_path / "b", moved, [row[n] for n in moved]),
+    ]
+    out = scan_staffing(spark, paths)
+    assert out.columns == list(STAFFING_COLUMNS)
+    assert [tuple(r) for r in out.collect()] == [tuple(row[n] for n in STAFFING_COLUMNS)] * 2
+    assert scan_staffing(spark, paths).select("PROVNUM").distinct().count() == 1
+
+
+def test_csv_without_a_needed_column_is_refused(spark, tmp_path):
+    path = write_csv(tmp_path / "s", STAFFING_COLUMNS[:-1], ["x"] * (len(STAFFING_COLUMNS) - 1))
+    with pytest.raises(MissingColumns, match=STAFFING_COLUMNS[-1]):
+        scan_staffing(spark, path)
 
 
 def test_bad_values_become_null(spark):

@@ -1,4 +1,5 @@
 from datetime import date
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -88,6 +89,20 @@ def test_upsert_refuses_two_rows_for_one_target_row(spark):
     assert read_table(spark, path).count() == 1
 
 
+def test_first_upsert_refuses_an_ambiguous_source_too(spark):
+    path = scratch_dir(spark, "upsert")
+    renamed = spark.createDataFrame([("a", D1, "q1", "AL", 1), ("a", D1, "q1", "GA", 2)], SCHEMA)
+    with pytest.raises(merge.AmbiguousMerge):
+        sinks.upsert(spark, renamed, path, ("PROVNUM", "quarter"), "quarter")
+    assert read_if_exists(spark, path) is None
+
+
+def test_scratch_needs_the_setting():
+    bare = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: default))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_dir(bare, "x")
+
+
 def test_null_partition_value_upserts(spark):
     path, keys = scratch_dir(spark, "upsert"), ("PROVNUM", "quarter")
     sinks.upsert(spark, spark.createDataFrame([("a", D1, None, "AL", 1), ("b", D1, "q1", "AL", 2)], SCHEMA), path, keys, "quarter")
@@ -129,5 +144,11 @@ def test_csv_export_keeps_order_and_text(spark):
     assert [tuple(r) for r in back.orderBy("k").collect()] == [("1", "a"), ("2", "é")]
 
 
+def test_csv_export_doubles_quotes(spark):
+    path = scratch_dir(spark, "csv")
+    sinks.export_csv(spark.createDataFrame([('St "A" Home, x',)], "t string"), path)
+    assert 'St ""A"" Home, x' in "".join(r.value for r in spark.read.text(path).collect())
+
+
 def test_landing_path():
     assert landing_path("/b/", "2024Q2", "f.csv") == "/b/quarter=2024Q2/f.csv"

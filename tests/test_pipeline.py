@@ -1,8 +1,10 @@
 """Deliveries from CSV text through Silver to Gold, and reruns."""
 
 from datetime import date, timedelta
+from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from rosterlake.config import HOUR_COLUMNS, PROVIDER_FIELDS, STAFFING_COLUMNS, TablePaths
 from rosterlake.operators.clean import select_provider
@@ -17,7 +19,7 @@ from rosterlake.sources.manifest import (
     new_quarters,
     offered_files,
 )
-from rosterlake.sources.tables import gold_tables, landing_path, read_if_exists, read_quarter, read_table
+from rosterlake.sources.tables import DAY_QUARTER, gold_tables, landing_path, read_if_exists, read_quarter, read_table
 from rosterlake.streaming.incremental import load_new_days
 
 START = {"2024Q2": date(2024, 4, 1), "2024Q3": date(2024, 7, 1)}
@@ -49,7 +51,7 @@ def lake(tmp_path):
         f"{ccn},For profit,Medicare,120,3,2,40,0.5,2\n" for ccn in ("015009", "015010")))
     paths = TablePaths(*[str(tmp_path / name) for name in ("bronze", "silver", "gold", "audit")])
 
-    def staffing(quarter, name="staffing.csv", **options):
+    def staffing(quarter, name="PBJ_Daily_Nurse_Staffing.csv", **options):
         folder = landing_path(paths.bronze, quarter)
         return put(tmp_path / folder.removeprefix(str(tmp_path) + "/") / name, staffing_lines(quarter, **options))
 
@@ -111,15 +113,55 @@ def test_stream_loads_each_file_once(spark, lake, tmp_path):
     provider = select_provider(scan_provider(spark, provider_csv))
 
     def load():
-        load_new_days(spark, paths.bronze, provider, paths.silver, str(tmp_path / "offsets"), files_per_batch=1)
-        return read_table(spark, paths.silver).groupBy("quarter").count().collect()
+        load_new_days(
+            spark, paths.bronze, provider, paths.silver, str(tmp_path / "offsets"), paths.audit, files_per_batch=1
+        )
+        audited = read_table(spark, paths.audit)
+        assert "quarter" not in audited.columns and audited.filter("CCN is not null").count() == 0
+        return audited.count(), {tuple(r) for r in read_table(spark, paths.silver).groupBy("quarter").count().collect()}
 
     staffing("2024Q2")
-    assert {tuple(r) for r in load()} == {("2024Q2", 16)}
-    assert {tuple(r) for r in load()} == {("2024Q2", 16)}
+    # supporting files lie in the same folder
+    put(tmp_path / "bronze" / "quarter=2024Q2" / "NH_ProviderInfo_Oct2024.csv", "a,b\n1,2\n")
+    assert load() == (10, {("2024Q2", 16)})
+    assert load() == (10, {("2024Q2", 16)})
     staffing("2024Q3")
-    staffing("2024Q2", name="again.csv", n=12)  # overlaps what is there
-    assert {tuple(r) for r in load()} == {("2024Q2", 18), ("2024Q3", 16)}
+    staffing("2024Q2", name="again_PBJ_Daily_Nurse_Staffing.csv", n=12)  # overlaps what is there
+    assert load() == (32, {("2024Q2", 18), ("2024Q3", 16)})
+
+
+def test_repeated_batch_adds_nothing(spark, lake, tmp_path):
+    """A batch whose commit was lost runs again under its id."""
+    paths, provider_csv, staffing = lake
+    provider = select_provider(scan_provider(spark, provider_csv))
+    staffing("2024Q2")
+    offsets = tmp_path / "offsets"
+    for _ in range(2):
+        load_new_days(spark, paths.bronze, provider, paths.silver, str(offsets), paths.audit)
+        for name in ("0", ".0.crc"):
+            (offsets / "commits" / name).unlink()
+    assert read_table(spark, paths.audit).count() == 10
+    assert read_table(spark, paths.silver).count() == 16
+
+
+def test_runs_leave_no_staged_copy(spark, lake):
+    paths, provider, staffing = lake
+    folder = Path(spark.conf.get("spark.checkpoint.dir")) / "rosterlake"
+    before = set(folder.glob("*")) if folder.exists() else set()
+    for quarter in START:
+        run_silver(spark, staffing(quarter), provider, paths, quarter)
+        run_facility_summary(spark, paths, quarter)
+    assert set(folder.glob("*")) == before
+
+
+def test_insert_reads_only_the_quarters_of_the_source(spark, lake):
+    paths, provider, staffing = lake
+    for quarter in START:
+        run_silver(spark, staffing(quarter), provider, paths, quarter)
+    raw = read_table(spark, paths.silver, derived=True)
+    assert {r[0] for r in raw.select(DAY_QUARTER).distinct().collect()} == {"d2024Q2", "d2024Q3"}
+    plan = raw.filter(F.col(DAY_QUARTER).isin(["d2024Q2"]))._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and DAY_QUARTER in plan.split("PartitionFilters")[1].split("]")[0]
 
 
 def test_files_and_quarters(spark):
@@ -153,6 +195,13 @@ def test_drop_folder_against_landing_folder(spark, lake, tmp_path):
     ]
 
 
+def test_nothing_landed_yet(spark, tmp_path):
+    (tmp_path / "empty").mkdir()
+    for folder in ("absent", "empty"):
+        landed = landed_quarters(spark, str(tmp_path / folder))
+        assert landed.columns == ["quarter"] and landed.count() == 0
+
+
 def test_served_from_written_tables(spark, lake):
     paths, provider, staffing = lake
     run_silver(spark, staffing("2024Q2"), provider, paths, "2024Q2")

@@ -135,3 +135,18 @@ def test_presence_schema_and_samples(staffing_of):
 def test_shift_quarter_relabels(staffing_of):
     out = generate.shift_quarter(staffing_of({"WorkDate": date(2024, 4, 5)}), "2024Q3").first()
     assert (out.WorkDate, out.CY_Qtr) == (date(2024, 7, 5), "2024Q3")
+
+
+def test_nan_is_missing_in_profiles(spark, staffing_of):
+    frame = staffing_of({"Hrs_RN": float("nan")}, {"Hrs_RN": 2.0}, {"Hrs_RN": 3.0})
+    stats = by_column(profile.describe_stats(frame))["Hrs_RN"]
+    assert (stats["count"], stats["mean"], stats["std"], stats["p75"], stats["max"]) == (2, 2.5, 0.71, 2.75, 3.0)
+    missing = {r.column_name: r.missing_count for r in profile.missing_report(frame).collect()}
+    assert missing["Hrs_RN"] == 1
+    assert by_column(profile.zero_report(frame))["Hrs_RN"]["mean_nonzero"] == 2.5
+
+
+def test_large_census_does_not_overflow(spark, staffing_of):
+    frame = staffing_of({"MDScensus": 250_000, "PROVNUM": "a"}, {"MDScensus": 1, "PROVNUM": "a"})
+    assert by_column(profile.describe_stats(frame))["MDScensus"]["mean"] == 125000.5
+    assert profile.facility_means(frame).first() is not None
