@@ -7,22 +7,26 @@ piece then finds its place from its rank among the pieces of its length. No grou
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rosterlake.llm.common import table
-from rosterlake.llm.words import Memo, chunks, vocabulary_path
+from rosterlake.llm.words import Memo, split_batch, text_slices, vocabulary_path
 from rosterlake.session import staged
 
 Pattern = tuple[tuple[int, int], ...]  # (length, how many), longest first
 END_ID = 1
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
+_NAMES, _TYPES = ["doc_id", "piece", "start", "length", "ids_crc32"], [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
 
 
 def lower_bound(counts: dict[int, int], capacity: int) -> int:
@@ -162,39 +166,100 @@ def bin_completion(counts: dict[int, int], capacity: int, nodes: int = 3000, wid
     return incumbent
 
 
-@lru_cache(maxsize=1)
-def _encoder(path: str) -> Memo:
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_file(path)
+#: A word of Latin letters and what ASCII marks follow it: the vocabulary splits there, and lowers each letter alone.
+_PLAIN = (
+    "^(?P<word>[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)"
+    "(?P<marks>[!-&(-/:-@\\[-`{-~]*)$"
+)
+
+
+class Encoder:
+    """Token ids of chunks without white space. Most chunks are a plain word and marks: only those parts, far fewer, are
+    encoded, many at a time as one text that is cut after each part's last token."""
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab()
+        self.last = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.last[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.parts = Memo(self._encode_parts, 300_000)
+        self.others = Memo(self._encode_others, 50_000)
+
+    def _encode_parts(self, some: list[str]) -> list[bytes]:
+        ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, "<u4")
+        ends = ((np.flatnonzero(self.last[ids]) + 1) * 4).tolist()
+        if len(ends) != len(some):
+            raise ValueError("a part without a last token")
+        raw = ids.tobytes()
+        return [raw[a:b] for a, b in zip([0, *ends], ends)]
+
+    def _encode_others(self, some: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(some, add_special_tokens=False)]
+
+    def encode(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of all chunks in turn, and how many each has."""
+        split = pc.extract_regex(chunks, _PLAIN)
+        plain = np.asarray(split.is_valid())
+        words = pc.utf8_lower(split.filter(split.is_valid()).field("word"))
+        marks = split.filter(split.is_valid()).field("marks")
+        held = []
+        first = np.zeros(len(chunks), np.int64)  # of a chunk's parts; none is number 0
+        second = np.zeros(len(chunks), np.int64)
+        at = 1
+        for kind, memo, texts, where in (
+            (first, self.parts, words, plain), (second, self.parts, marks, plain),
+            (first, self.others, chunks.filter(split.is_null()), ~plain),
+        ):
+            coded = texts.dictionary_encode()
+            distinct = coded.dictionary.to_pylist()
+            known = [t for t in distinct if t]
+            memo.learn(known)
+            held += [memo[t] if t else b"" for t in distinct]
+            kind[where] = np.asarray(coded.indices, np.int64) + at
+            at += len(distinct)
+        ids = np.frombuffer(b"".join(held), "<u4")
+        sizes = np.array([0, *(len(h) // 4 for h in held)], np.int64)
+        parts = np.stack((first, second), axis=1).reshape(-1)
+        return gathered(ids, sizes, parts), (sizes[first] + sizes[second])
+
+
+def gathered(values: np.ndarray, sizes: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Of consecutive runs with these ``sizes``, the wanted ones in turn."""
+    begins, lengths = (np.cumsum(sizes) - sizes)[wanted], sizes[wanted]
+    ends = np.cumsum(lengths)
+    return values[np.repeat(begins - ends + lengths, lengths) + np.arange(int(lengths.sum()))]
 
-    def many(some: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in tokenizer.encode_batch(some, add_special_tokens=False)]
 
-    return Memo(many)
+@lru_cache(maxsize=1)
+def _encoder(path: str) -> Encoder:
+    return Encoder(path)
 
 
 def pieces(docs: DataFrame, capacity: int, path: str) -> DataFrame:
     """The documents' token ids, each followed by id 1, cut where longer than ``capacity``. A null text is empty."""
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import os
-
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        memo, end = _encoder(path), np.array([END_ID], "<u4").tobytes()
+        encoder, end = _encoder(path), np.array([END_ID], "<u4").tobytes()
         for batch in batches:
-            rows: list[tuple] = []
-            for doc_id, text in zip(batch["doc_id"], batch["text"]):
-                words = chunks(text or "")
-                memo.learn(words)
-                ids = memoryview(b"".join([memo[w] for w in words] + [end]))
-                for piece, at in enumerate(range(0, len(ids), capacity * 4)):
-                    part = ids[at : at + capacity * 4]
-                    rows.append((doc_id, piece, at // 4, len(part) // 4, zlib.crc32(part)))
-            out = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
-            yield out.astype({"doc_id": "Int64"})
-
-    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), "text").mapInPandas(cut, PIECES)
+            for part in text_slices(batch):
+                at, words, distinct = split_batch(part.column("text"))
+                ids, sizes = encoder.encode(distinct)
+                ids, ends = gathered(ids, sizes, at), np.cumsum(sizes[at])
+                token_end = np.concatenate(([0], ends))[np.cumsum(words)]
+                rows: list[tuple] = []
+                start = 0
+                for doc_id, stop in zip(part.column("doc_id").to_pylist(), token_end.tolist()):
+                    own = memoryview(ids[start:stop].tobytes() + end)
+                    for piece, first in enumerate(range(0, len(own), capacity * 4)):
+                        some = own[first : first + capacity * 4]
+                        rows.append((doc_id, piece, first // 4, len(some) // 4, zlib.crc32(some)))
+                    start = stop
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), _TYPES)], names=_NAMES)
+
+    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), "text").mapInArrow(cut, PIECES)
 
 
 def pack(spark: SparkSession, docs: DataFrame, capacity: int = 4096, path: str | None = None) -> DataFrame:

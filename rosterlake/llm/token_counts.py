@@ -11,11 +11,11 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from rosterlake.llm.common import table, text_blocks
-from rosterlake.llm.words import Memo, chunks, pieces_of_vocabulary, vocabulary_path, words_of
+from rosterlake.llm.common import table
+from rosterlake.llm.words import Memo, pieces_of_vocabulary, split_batch, text_slices, vocabulary_path, words_of
 
 _SYMBOLS = 512
 
@@ -109,20 +109,22 @@ def token_counts(docs: DataFrame, path: str | None = None) -> DataFrame:
     them, tokens by greedy longest match. A null or empty text has 0 of both; every row gives one."""
     place = path or vocabulary_path()
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = _counter(place)
         for batch in batches:
-            for ids, texts in text_blocks(batch["doc_id"], batch["text"], 1 << 20):
-                split = [chunks(t) for t in texts]
-                words, tokens = [], []
-                for part in split:
-                    memo.learn(part)
-                    counts = [memo[c] for c in part]
-                    words.append(sum(c[0] for c in counts))
-                    tokens.append(sum(c[1] for c in counts))
-                yield pd.DataFrame({"doc_id": pd.array(ids, "Int64"), "n_words": words, "n_tokens": tokens})
-
-    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), "text").mapInPandas(count, "doc_id long, n_words long, n_tokens long")
+            for part in text_slices(batch):
+                at, chunks, distinct = split_batch(part.column("text"))
+                distinct = distinct.to_pylist()
+                memo.learn(distinct)
+                each = np.array([memo[c] for c in distinct], np.int64).reshape(-1, 2)[at]
+                sums = np.concatenate((np.zeros((1, 2), np.int64), np.cumsum(each, axis=0)))
+                ends = np.cumsum(chunks)
+                words, tokens = (sums[ends] - sums[ends - chunks]).T
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), pa.array(words), pa.array(tokens)], names=["doc_id", "n_words", "n_tokens"]
+                )
+
+    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), "text").mapInArrow(count, "doc_id long, n_words long, n_tokens long")
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,15 +3,14 @@
 from __future__ import annotations
 
 import json
-import re
 import unicodedata
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 
-#: White space as the vocabulary's own normaliser has it; everything it does works inside such a chunk.
-_SPACE = "\t-\r \x85\xa0  -     　"
-chunks = re.compile(f"[^{_SPACE}]+").findall
 #: Fixed value: the vocabulary's pattern for words.
 split_words = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+").findall
 
@@ -22,6 +21,26 @@ def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def text_slices(batch: pa.RecordBatch, most_bytes: int = 1 << 23) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch with about ``most_bytes`` of its column ``text`` each; a longer text is a part of its own."""
+    sizes = np.asarray(pc.fill_null(pc.binary_length(batch.column("text")), 0), np.int64)
+    group = (np.cumsum(sizes) - sizes) // most_bytes
+    edges = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(sizes)]
+    for a, b in zip(edges, edges[1:]):
+        yield batch.slice(a, b - a)
+
+
+def split_batch(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """Chunks without ASCII white space of all texts together: each one's place in the list of different
+    chunks; how many each text has; and that list. The vocabulary splits at white space
+    too, so chunks can be encoded apart; other white space stays inside them. A null has none."""
+    lists = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+    flat = lists.flatten()
+    counts = np.asarray(pc.list_value_length(lists), np.int64)
+    coded = flat.dictionary_encode()
+    return np.asarray(coded.indices, np.int64), counts, coded.dictionary
+
+
 def words_of(chunk: str) -> list[bytes]:
     """Lower-case words of a chunk without white space, in UTF-8. Each character is lowered alone."""
     lowered = "".join(c.lower() for c in unicodedata.normalize("NFC", chunk))
@@ -29,20 +48,24 @@ def words_of(chunk: str) -> list[bytes]:
 
 
 class Memo(dict):
-    """What ``many`` gives for each of a list of words, kept for up to ``most`` words."""
+    """What ``many`` gives for each of a list of words, in two generations of about ``most`` words: a word
+    that no call has asked for while a generation filled up is forgotten, so common ones stay."""
 
-    def __init__(self, many: Callable[[list[str]], list], most: int = 200_000):
+    def __init__(self, many: Callable[[list[str]], list], most: int = 150_000):
         super().__init__()
-        self.many, self.most = many, most
+        self.many, self.most, self.old = many, most, {}
 
     def learn(self, words: list[str]) -> None:
-        """Afterwards every one of ``words`` is a key."""
+        """Afterwards every one of ``words`` is a key, until the next call."""
+        if len(self) > self.most:
+            self.old = dict(self)
+            self.clear()
         missing = {w for w in words if w not in self}
         if missing:
-            if len(self) + len(missing) > self.most:
-                self.clear()
-                missing = set(words)
-            found = list(missing)
+            known = missing & self.old.keys() if self.old else ()
+            for w in known:
+                self[w] = self.old[w]
+            found = list(missing.difference(known))
             self.update(zip(found, self.many(found)))
 
 
