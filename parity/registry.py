@@ -37,6 +37,7 @@ RATIOS = (
     "total_hrs_per_patient", "contracted_rn_ratio", "bed_occupancy_rate",
 )
 QUERIES: dict[str, Query] = {}
+BUILDERS: dict[str, Callable[[Tables], DataFrame]] = {}
 
 
 def query(build: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame]:
@@ -45,6 +46,7 @@ def query(build: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame]
         return build(Tables(spark, sf_dir))
 
     QUERIES[build.__name__] = run
+    BUILDERS[build.__name__] = build
     return build
 
 

@@ -9,14 +9,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterlake.config import HOUR_COLUMNS, PROVIDER_FIELDS, STAFFING_COLUMNS
+from rosterlake.config import HOUR_COLUMNS, PROVIDER_FIELDS, STAFFING_COLUMNS, TablePaths
 from rosterlake.functions.calendar import quarter_label
 from rosterlake.operators.clean import enough_census, join_provider
 from rosterlake.operators.joins import fits_broadcast
 from rosterlake.plans.gold import daily_metrics, facility_summary, staffing_metrics
-from rosterlake.plans.silver import build_silver
-
-_PROVIDER_SMALL: dict[str, bool] = {}
+from rosterlake.plans.silver import SILVER_PARTITIONS, build_silver
+from rosterlake.session import scratch_dir
+from rosterlake.sinks.tables import create_table
+from rosterlake.sources.tables import read_table
 
 
 def _facility_id(key: str) -> Column:
@@ -29,6 +30,7 @@ class Tables:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self._small: bool | None = None
 
     def read(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
@@ -165,10 +167,10 @@ class Tables:
         )
 
     def provider_is_small(self) -> bool:
-        """Measured once per data folder."""
-        if self.sf_dir not in _PROVIDER_SMALL:
-            _PROVIDER_SMALL[self.sf_dir] = fits_broadcast(self.provider())
-        return _PROVIDER_SMALL[self.sf_dir]
+        """Measured once for these tables."""
+        if self._small is None:
+            self._small = fits_broadcast(self.provider())
+        return self._small
 
     def manifest(self) -> DataFrame:
         """A list of offered files, one per order: dated staffing files, undated and dated
@@ -220,3 +222,30 @@ class Tables:
 
     def facilities(self, delivery: str | None = None) -> DataFrame:
         return facility_summary(self.silver(delivery))
+
+
+class StoredTables(Tables):
+    """The same layers with Silver and both Gold tables written once and read back, as a dashboard has them."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        super().__init__(spark, sf_dir)
+        self.paths = TablePaths(*[scratch_dir(spark, name) for name in ("bronze", "silver", "gold", "audit")])
+        create_table(super().staffing(), self.paths.bronze, ["CY_Qtr"])
+        create_table(super().silver(), self.paths.silver, SILVER_PARTITIONS)
+        create_table(super().metrics(), self.paths.staffing_metrics, SILVER_PARTITIONS)
+        create_table(super().facilities(), self.paths.facility_summary, ["quarter"])
+
+    def _stored(self, path: str) -> DataFrame:
+        return read_table(self.spark, path)
+
+    def staffing(self, delivery: str | None = None) -> DataFrame:
+        return super().staffing(delivery) if delivery else self._stored(self.paths.bronze)
+
+    def silver(self, delivery: str | None = None) -> DataFrame:
+        return super().silver(delivery) if delivery else self._stored(self.paths.silver)
+
+    def metrics(self, delivery: str | None = None) -> DataFrame:
+        return super().metrics(delivery) if delivery else self._stored(self.paths.staffing_metrics)
+
+    def facilities(self, delivery: str | None = None) -> DataFrame:
+        return super().facilities(delivery) if delivery else self._stored(self.paths.facility_summary)

@@ -8,6 +8,7 @@ from pyspark.sql.types import BinaryType, StringType
 
 from rosterlake.functions.numeric import row_count
 from rosterlake.config import DEFAULTS, Settings
+from rosterlake.session import staged
 
 SALT, HOT, WAYS = "_salt", "_hot", "_ways"
 
@@ -56,10 +57,13 @@ def lookup_join(
 def hot_keys(facts: DataFrame, key: str, settings: Settings = DEFAULTS) -> DataFrame:
     """Keys holding more than ``hot_share`` of the rows, and in how many parts to split each.
 
+    The counts are written once to shared scratch: the total and the hot keys come from there, so the facts
+    are read once for them.
+
     A share of 1/1000 leaves at most 1000 of them, however large the table: small enough
     to broadcast by construction.
     """
-    counts = facts.groupBy(key).agg(row_count().alias("n"))
+    counts = staged(facts.sparkSession, facts.groupBy(key).agg(row_count().alias("n")), "key-counts")
     limit = F.greatest(
         counts.agg((F.sum("n") * F.lit(settings.hot_share)).alias("n")).scalar(), F.lit(1.0)
     )
