@@ -1,0 +1,75 @@
+import hashlib
+import random
+import re
+
+from rosterlake.llm import personal_data as pd
+
+BASE = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def luhn(digits):
+    doubled = [int(c) * (1 + i % 2) for i, c in enumerate(reversed(digits))]
+    return sum(x - 9 * (x > 9) for x in doubled) % 10 == 0
+
+
+def brute(text):
+    out = []
+    for kind, pattern in BASE.items():
+        for m in re.finditer(pattern, text or ""):
+            digits = re.sub("[^0-9]", "", m.group())
+            if {"email": True, "ip": kind == "ip" and all(int(x) <= 255 for x in m.group().split(".")),
+                    "card": 13 <= len(digits) <= 19 and luhn(digits), "phone": 9 <= len(digits) <= 15}[kind]:
+                out.append(f"{kind}:{m.start()}:{m.end()}")
+    return out
+
+
+def texts():
+    random.seed(4)
+    out = [
+        None, "", "a@b.c@d.e", "a@b.c_x@d.e.f", "999.1.1.1.2.3.4.5 1.2.3.4.5.6.7.8", "00001.2.3.255", "+1 (988) 555-2485",
+        "4111 1111 1111 1111", "4111-1111-1111-1111 1", "x4111111111111111y", "1  23 4111111111111111", "é😀 a@b.co 1.2.3.4",
+    ]
+    letters = "ab@.-_+% 0123456789()é😀1234."
+    out += ["".join(random.choice(letters) for _ in range(random.randint(0, 60))) for _ in range(1500)]
+    for _ in range(200):
+        d = [random.choice("0123456789") for _ in range(random.randint(12, 19))]
+        out.append(" ".join(["".join(d), random.choice([" ", "-", ""]).join(d), "+" + "".join(d[:11]), "q"]))
+    # long runs: neither deep recursion nor a quadratic search
+    out += ["1" * 100_000, "a" * 100_000, "1." * 60_000, "a." * 50_000 + "@" + "b." * 50_000, "+1" * 40_000, "+1" + "(" * 100_000, "1 " * 50_000]
+    return out
+
+
+def test_base_spans_equal_the_plain_patterns(spark, monkeypatch):
+    given = texts()
+    docs = spark.createDataFrame(list(enumerate(given)), "doc_id long, text string").repartition(8)
+    monkeypatch.setattr(pd, "table", lambda *_: docs)
+    for row in pd.op7_personal_data(spark, "").collect():
+        found = brute(given[row.doc_id])
+        assert row.base_sha256 == hashlib.sha256(",".join(found).encode()).hexdigest()
+        assert [row.n_email, row.n_ip, row.n_card, row.n_phone] == [sum(f.startswith(k + ":") for f in found) for k in BASE]
+        assert [s for s in row.spans.split(",") if s and s.split(":")[0] in BASE] == found
+    masked = [r.text for r in pd.mask(docs).collect()]
+    assert not any(brute(t) for t in masked if t)
+
+
+def test_checksums_and_context(spark):
+    rows = ["IBAN DE89 3704 0044 0532 0130 00.", "DE88370400440532013000", "GB82WEST12345698765432", "ssn 123-45-6789", "see 123-45-6789", "mail me: a@b.org"]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(rows)], "doc_id long, text string")
+    found = {r.doc_id: r for r in pd.find(docs).collect()}
+    assert [(s.s, s.e, round(s.score, 1)) for s in found[0].iban] == [(5, 32, 1.1)]
+    assert not found[1].iban and len(found[2].iban) == 1
+    assert len(found[3].ssn) == 1 and not found[4].ssn
+    assert round(found[5].email[0].score, 1) == 1.0
+
+
+def test_awkward_rows(spark, awkward, nothing):
+    out = pd.find(awkward)
+    assert out.count() == awkward.count() and pd.find(nothing).count() == 0
+    stage = pd.stage(spark, awkward, "")
+    assert stage.columns == awkward.columns
+    texts = {r.text for r in stage.collect()}
+    assert None in texts and "a text without an id, but with [EMAIL]" in texts
+    assert pd.stage(spark, nothing, "").count() == 0
