@@ -5,8 +5,16 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
+from rosterlake.config import (
+    DAILY_METRIC_COLUMNS,
+    FACILITY_GROUP,
+    HOUR_COLUMNS,
+    PROVIDER_FIELDS,
+    STAFFING_COLUMNS,
+)
 from rosterlake.functions import calendar, numeric, staffing
 from rosterlake.plans.gold import daily_metrics
+from rosterlake.plans.silver import SILVER_COLUMNS
 
 
 def values(frame, *names):
@@ -180,3 +188,10 @@ def test_sums_and_means_keep_every_value(spark):
     assert tuple(of([9e11] * 20_000)) == (1.8e16, 9e11, 9e11, 9e11)
     assert tuple(of([float("nan"), None])) == (None, None, None, None)
     assert of([float("nan"), 2.0]).m == 2.0
+
+
+def test_column_counts_of_the_layers():
+    """Pinned by hand, since queries and SQL twins share the lists."""
+    assert (len(SILVER_COLUMNS), len(set(SILVER_COLUMNS))) == (48, 48)
+    assert len(DAILY_METRIC_COLUMNS) == 19 and len(FACILITY_GROUP) == 11
+    assert len(STAFFING_COLUMNS) == 33 and len(HOUR_COLUMNS) == 24 and len(PROVIDER_FIELDS) == 9
