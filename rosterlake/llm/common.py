@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,6 +43,15 @@ def text_blocks(
         yield some_keys, some_texts
 
 
+def release() -> None:
+    """Give memory back that a Python worker has used and freed: workers live on from task to task and
+    share their executor's memory with the JVM."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def join_counted(
     facts: DataFrame, counted: DataFrame, key: str, spread: Column, total: int, n: str = "n"
 ) -> DataFrame:

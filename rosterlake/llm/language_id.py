@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterlake.llm.common import table, text_blocks
+from rosterlake.llm.common import release, table, text_blocks
 
 UNDETERMINED = "und"
 _BLOCK = 1 << 18
@@ -125,11 +125,12 @@ def train(docs: DataFrame, params: LanguageParams = LanguageParams()) -> Languag
         def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for batch in batches:
                 for lang, rows in batch.groupby("lang"):
-                    for _, texts in text_blocks(rows["text"], rows["text"], _BLOCK * 4):
-                        for text_part in ([texts] if len(texts) > 1 else [[t] for t in _cuts(texts[0], _BLOCK * 4)]):
+                    for _, texts in text_blocks(rows["text"], rows["text"], _BLOCK):
+                        for text_part in ([texts] if len(texts) > 1 else [[t] for t in _cuts(texts[0], _BLOCK)]):
                             for n, h, _ in gram_hashes(text_part, params.sizes):
                                 grams, seen = np.unique(h, return_counts=True)
                                 yield pd.DataFrame({"lang": lang, "size": n, "gram": grams.view(np.int64), "n": seen})
+            release()
 
         counts = (
             sample.select("lang", "text")
@@ -194,9 +195,11 @@ def _guess(spark: SparkSession, model: LanguageModel):
     sent = spark.sparkContext.broadcast(model)
 
     @F.pandas_udf("struct<lang string, score double>")
-    def guess(texts: pd.Series) -> pd.DataFrame:
-        langs, scores = predict(texts.tolist(), sent.value)
-        return pd.DataFrame({"lang": langs, "score": scores})
+    def guess(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for texts in batches:
+            langs, scores = predict(texts, sent.value)
+            yield pd.DataFrame({"lang": langs, "score": scores})
+            release()
 
     return guess
 

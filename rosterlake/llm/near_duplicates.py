@@ -22,14 +22,14 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterlake.llm.common import join_counted, table, text_blocks
+from rosterlake.llm.common import join_counted, release, table, text_blocks
 from rosterlake.llm.words import Memo
 from rosterlake.session import staged
 
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _CHILDREN = np.array([0x8CB92BA72F3D8DD7, 0xE7037ED1A0B428DB], np.uint64)  # for the seeds of an interval's halves
-_BLOCK = 1 << 20
+_BLOCK = 1 << 18
 
 
 @dataclass(frozen=True)
@@ -188,6 +188,8 @@ def signatures(docs: DataFrame, params: NearParams) -> DataFrame:
                 yield pd.DataFrame({
                     "doc_id": pd.array(ids, "Int64"), "node": [_digest(t) for t in texts], "buckets": band_keys(texts, params),
                 })
+        _memo().forget()
+        release()
 
     return docs.select(docs["doc_id"].cast("long").alias("doc_id"), "text").mapInPandas(
         sign, "doc_id long, node binary, buckets array<long>"
@@ -232,6 +234,8 @@ def verify(spark: SparkSession, pairs: DataFrame, texts: DataFrame, params: Near
                 else:
                     out.append((node, pivot, overlap(bag, _bag(text, params.words))))
             yield pd.DataFrame(out, columns=["node", "pivot", "similarity"])
+        _memo().forget()
+        release()
 
     return rows.mapInPandas(compare, "node binary, pivot binary, similarity double")
 

@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from rosterlake.llm.common import table
+from rosterlake.llm.common import release, table
 from rosterlake.llm.words import Memo, split_batch, text_slices, vocabulary_path
 from rosterlake.session import staged
 
@@ -114,13 +114,15 @@ def _fillings(counts: dict[int, int], lengths: list[int], room: int, width: int,
     return out or [found[0][2] if found else ()]
 
 
-def bin_completion(counts: dict[int, int], capacity: int, nodes: int = 3000, width: int = 3, steps: int = 400) -> list[tuple[int, Pattern]]:
+def bin_completion(
+    counts: dict[int, int], capacity: int, nodes: int = 3000, width: int = 3, steps: int = 400, waiting: int = 200
+) -> list[tuple[int, Pattern]]:
     """Patterns and how often each is used, together holding every piece of ``counts`` once.
 
     Depth first: the largest piece left gets its undominated fillings in turn, each used as often as
     pieces allow. A branch ends when its waste exceeds what a better packing than the incumbent can
     have. Best-fit decreasing is the first incumbent. ``nodes`` bounds the search, ``width`` the
-    fillings tried at a node and ``steps`` their enumeration; a search cut short still ends with a full packing.
+    fillings tried at a node, ``steps`` their enumeration, and ``waiting`` the latest alternatives that are remembered; a search cut short still ends with a full packing.
     """
     counts = {x: n for x, n in counts.items() if n}
     if not counts:
@@ -155,9 +157,8 @@ def bin_completion(counts: dict[int, int], capacity: int, nodes: int = 3000, wid
                 lost = times * (capacity - sum(x * k for x, k in need.items()))
                 options.append((after, lengths, bins + times, waste + lost, ((times, tuple(sorted(need.items(), reverse=True))), made)))
             stack += options[:0:-1]
+            del stack[:-waiting]
             left, lengths, bins, waste, made = options[0]
-        if len(stack) > 20_000:
-            del stack[: len(stack) - 20_000]
         if not lengths and bins < used:
             incumbent, used = [], bins
             while made:
@@ -184,8 +185,8 @@ class Encoder:
         vocabulary = self.tokenizer.get_vocab()
         self.last = np.zeros(max(vocabulary.values()) + 1, bool)
         self.last[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self.parts = Memo(self._encode_parts, 300_000)
-        self.others = Memo(self._encode_others, 50_000)
+        self.parts = Memo(self._encode_parts, 200_000)
+        self.others = Memo(self._encode_others, 20_000)
 
     def _encode_parts(self, some: list[str]) -> list[bytes]:
         ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, "<u4")
@@ -258,6 +259,9 @@ def pieces(docs: DataFrame, capacity: int, path: str) -> DataFrame:
                         rows.append((doc_id, piece, first // 4, len(some) // 4, zlib.crc32(some)))
                     start = stop
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), _TYPES)], names=_NAMES)
+        encoder.parts.forget()
+        encoder.others.forget()
+        release()
 
     return docs.select(docs["doc_id"].cast("long").alias("doc_id"), "text").mapInArrow(cut, PIECES)
 

@@ -21,7 +21,7 @@ def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
-def text_slices(batch: pa.RecordBatch, most_bytes: int = 1 << 23) -> Iterator[pa.RecordBatch]:
+def text_slices(batch: pa.RecordBatch, most_bytes: int = 1 << 21) -> Iterator[pa.RecordBatch]:
     """Parts of a batch with about ``most_bytes`` of its column ``text`` each; a longer text is a part of its own."""
     sizes = np.asarray(pc.fill_null(pc.binary_length(batch.column("text")), 0), np.int64)
     group = (np.cumsum(sizes) - sizes) // most_bytes
@@ -51,7 +51,7 @@ class Memo(dict):
     """What ``many`` gives for each of a list of words, in two generations of about ``most`` words: a word
     that no call has asked for while a generation filled up is forgotten, so common ones stay."""
 
-    def __init__(self, many: Callable[[list[str]], list], most: int = 150_000):
+    def __init__(self, many: Callable[[list[str]], list], most: int = 80_000):
         super().__init__()
         self.many, self.most, self.old = many, most, {}
 
@@ -68,6 +68,10 @@ class Memo(dict):
             found = list(missing.difference(known))
             self.update(zip(found, self.many(found)))
 
+    def forget(self) -> None:
+        self.clear()
+        self.old = {}
+
 
 def byte_units() -> dict[str, int]:
     """The character that stands for each byte in the files of byte-level vocabularies: printable
