@@ -7,8 +7,11 @@
    the pivot, and members are verified against it by the exact overlap of the shingle multisets.
 3. Links make classes (connected components). Members outside their pivots' classes elect a new pivot among
    themselves, until a round adds no link.
+4. Buckets that still hold several classes are compared pair by pair, all their members: coarse counts of shingles
+   give an upper bound of a pair's similarity, and pairs of two classes that it lets through are verified.
 
-A bucket is compared with few pivots, never pair by pair; hot buckets, texts and classes are split by salt.
+So two texts that share a bucket are in one class, or known to be unlike. Most pairs of a large class are never
+looked at; hot buckets, texts and classes are split by salt, hot buckets of step 4 into blocks of two parts.
 """
 
 from __future__ import annotations
@@ -30,6 +33,8 @@ _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _CHILDREN = np.array([0x8CB92BA72F3D8DD7, 0xE7037ED1A0B428DB], np.uint64)  # for the seeds of an interval's halves
 _BLOCK = 1 << 18
+_PART = 512  # members of a bucket that are compared as one part
+_CELLS = 64, 4096  # fewest and most cells of coarse counts
 
 
 @dataclass(frozen=True)
@@ -240,6 +245,102 @@ def verify(spark: SparkSession, pairs: DataFrame, texts: DataFrame, params: Near
     return rows.mapInPandas(compare, "node binary, pivot binary, similarity double")
 
 
+def coarse(text: str, words: int) -> tuple[int, bytes]:
+    """How many shingles a text has, and how many of them fall in each cell of their hashes, 255 at most; as
+    many cells as shingles, down to a power of two, so that counts in more cells can be added up to counts in fewer."""
+    _, element, count = shingles([text], words)
+    total = int(count.sum())
+    cells = min(max(1 << (max(total, 1).bit_length() - 1), _CELLS[0]), _CELLS[1])
+    held = np.bincount((element & np.uint64(cells - 1)).astype(np.int64), count, cells)
+    return total, np.minimum(held, 255).astype(np.uint8).tobytes()
+
+
+def possible_pairs(total: np.ndarray, cells: list[bytes], label: np.ndarray, part: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of different labels whose similarity may reach the threshold; of different parts, where there are two.
+    What two texts share in a cell is at most the lesser count; what is above 255 is taken as shared as far as both have it."""
+    first, second = [], []
+    by_size: dict[int, list[int]] = {}
+    for at, held in enumerate(cells):
+        by_size.setdefault(len(held), []).append(at)
+    two = part.min() != part.max()
+    for few, a in by_size.items():
+        a = np.array(a)
+        left = np.frombuffer(b"".join(cells[i] for i in a), np.uint8).reshape(len(a), few).astype(np.uint16)
+        for many in (few, 2 * few):  # totals of a pair differ by a quarter at most, cells by a factor of two
+            if many not in by_size:
+                continue
+            b = np.array(by_size[many])
+            right = np.frombuffer(b"".join(cells[i] for i in b), np.uint8).reshape(len(b), many // few, few).sum(axis=1, dtype=np.uint16)
+            over_a, over_b = total[a] - left.sum(axis=1, dtype=np.int64), total[b] - right.sum(axis=1, dtype=np.int64)
+            for i, at in enumerate(a):
+                least, most = threshold * total[at] - 1e-6, total[at] / threshold + 1e-6
+                near = (total[b] >= least) & (total[b] <= most) & (label[b] != label[at])
+                if two:
+                    near &= part[b] != part[at]
+                if many == few:
+                    near &= b > at
+                near = np.flatnonzero(near)
+                if len(near):
+                    common = np.minimum(left[i], right[near]).sum(axis=1, dtype=np.int64) + np.minimum(over_a[i], over_b[near])
+                    near = near[common * (1 + threshold) >= threshold * (total[at] + total[b[near]]) - 1e-6]
+                    first.append(np.full(len(near), at))
+                    second.append(b[near])
+    none = np.zeros(0, np.int64)
+    return np.concatenate([none, *first]), np.concatenate([none, *second])
+
+
+def left_over(spark: SparkSession, member: DataFrame, labels: DataFrame | None, texts: DataFrame, params: NearParams, n_members: int) -> DataFrame:
+    """(node, pivot): all pairs of a bucket that are in different classes and may be alike."""
+    if labels is None:
+        placed = member.select("bucket", "node", F.col("node").alias("label"))
+    else:
+        placed = member.select("bucket", "node").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    placed = staged(spark, placed, "placed-members")
+    mixed = placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("label").alias("lo"), F.max("label").alias("hi"))
+    mixed = staged(spark, mixed.filter("lo <> hi").select("bucket", "n"), "mixed")
+    rows = join_counted(placed, mixed, "bucket", F.xxhash64("node"), n_members).filter("n is not null")
+    rows = staged(spark, rows.select("bucket", "node", "label", "n"), "mixed-members")
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            held = [coarse(text, params.words) for text in batch["text"]]
+            yield pd.DataFrame({"node": batch["node"], "total": [t for t, _ in held], "cells": [c for _, c in held]})
+        _memo().forget()
+        release()
+
+    counts = texts.join(rows.select("node").distinct(), "node", "left_semi").mapInPandas(count, "node binary, total long, cells binary")
+    ways = F.ceil(F.col("n") / _PART).cast("int")
+    blocks = rows.join(staged(spark, counts, "coarse"), "node").withColumn("part", F.pmod(F.xxhash64("node"), ways).cast("int"))
+    blocks = blocks.withColumn("other", F.explode(F.sequence(F.lit(0), ways - 1))).select(
+        "bucket", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "node", "label", "total", "cells"
+    ).repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+
+    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def pairs(block: list[tuple]) -> list[tuple[bytes, bytes]]:
+            part, node, label, total, cells = zip(*block)
+            code = {x: k for k, x in enumerate(set(label))}
+            if len(code) < 2 or key[1] != key[2] and len(set(part)) < 2:
+                return []
+            one, two = possible_pairs(np.array(total), list(cells), np.array([code[x] for x in label]), np.array(part), params.threshold)
+            return [(min(node[a], node[b]), max(node[a], node[b])) for a, b in zip(one, two)]
+
+        key, block = None, []
+        for batch in batches:
+            out: set[tuple[bytes, bytes]] = set()
+            for bucket, i, j, *row in batch.itertuples(index=False, name=None):
+                if (bucket, i, j) != key:
+                    if len(block) > 1:
+                        out.update(pairs(block))
+                    key, block = (bucket, i, j), []
+                block.append(tuple(row))
+            yield pd.DataFrame(list(out), columns=["node", "pivot"])
+        if len(block) > 1:
+            yield pd.DataFrame(pairs(block), columns=["node", "pivot"])
+        release()
+
+    return blocks.mapInPandas(compare, "node binary, pivot binary").distinct()
+
+
 def components(spark: SparkSession, links: DataFrame) -> DataFrame:
     """(node, label): the least node of each node's connected component. Labels travel along links and then
     to the label's own label, until nothing changes; each step is written to shared storage."""
@@ -271,8 +372,8 @@ def components(spark: SparkSession, links: DataFrame) -> DataFrame:
 
 
 def classes(spark: SparkSession, docs: DataFrame, params: NearParams = NearParams()) -> DataFrame:
-    """doc_id, class_id (the least doc_id of its class), and links: how many verified links its text has to pivots or,
-    for a pivot, to members. Equal texts are always one class. A null text counts as empty; a text without
+    """doc_id, class_id (the least doc_id of its class), and links: how many verified links its text has, to pivots or, for
+    a pivot, to members, and to texts whose class was another one until then. Equal texts are always one class. A null text counts as empty; a text without
     words is like its equals only. Every input row gives one row, repeated rows too; an empty table gives none.
     """
     signed = staged(spark, signatures(docs, params), "signatures")
@@ -329,6 +430,15 @@ def classes(spark: SparkSession, docs: DataFrame, params: NearParams = NearParam
             rest = staged(
                 spark, rest.filter(F.col("label") != F.coalesce("theirs", "pivot")).select("bucket", "node", "n", "central", "label"), "rest"
             )
+        pairs = left_over(spark, member, labels, texts, params, n_members)
+        seen = found.select("node", "pivot").union(found.select("pivot", "node"))
+        pairs = staged(spark, pairs.join(seen.toDF("node", "pivot"), ["node", "pivot"], "left_anti"), "pairs")
+        n_pairs = pairs.count()
+        if n_pairs:
+            fresh = staged(spark, verify(spark, pairs, texts, params, n_pairs), "similar")
+            found = found.unionByName(fresh)
+            if fresh.filter(F.col("similarity") >= params.threshold).limit(1).count():
+                labels = components(spark, found.filter(F.col("similarity") >= params.threshold))
     known = nodes
     if labels is None:
         known = known.select("node", F.col("doc_id").alias("class_id"), F.col("copies").alias("n"), F.lit(0).cast("long").alias("links"))

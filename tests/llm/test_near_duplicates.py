@@ -118,3 +118,38 @@ def test_awkward_rows(spark, awkward, nothing):
     assert stage.columns == awkward.columns
     assert sorted(r.doc_id for r in stage.select("doc_id").distinct().collect() if r.doc_id) == [1, 3, 4, 5, 6, 7]
     assert nd.stage(spark, nothing, "").count() == 0
+
+
+def test_pairs_among_texts_that_share_a_passage(spark):
+    """Near copies that share their buckets with many unlike texts, all with one long passage."""
+    random.seed(11)
+    passage = [f"p{i}" for i in range(150)]
+    rows = []
+    for i in range(300):
+        own = passage + [f"t{i}-{k}" for k in range(50)]
+        rows.append((2 * i, " ".join(own)))
+        if i < 40:
+            for at in random.sample(range(5, 195, 10), 4):
+                own[at] = f"e{i}-{at}"
+            rows.append((2 * i + 1, " ".join(own)))
+    alike = [similarity(bag(rows[k][1]), bag(rows[k + 1][1])) for k in range(0, 80, 2)]
+    assert 0.80 <= min(alike) and max(alike) <= 0.83
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for params in (nd.NearParams(), nd.NearParams(bands=8, rows=1)):  # the latter: few buckets, nearly all texts in each
+        assert found_classes(nd.classes(spark, docs, params).collect()) == brute_classes(rows)
+
+
+def test_bound_lets_all_alike_pairs_through():
+    random.seed(2)
+    texts = []
+    for n in (1, 6, 60, 70, 126, 130, 600, 5000):
+        base = [random.choice("abcdefgh") + str(random.randrange(n)) for _ in range(n)] + ["a a a a a"] * (n // 10 * 9 % 700)
+        for cut in (1, 0.95, 0.85, 0.81, 0.79, 0.6):
+            texts.append(" ".join(base[: max(1, int(n * cut))] + base[n:]))
+    total, cells = zip(*(nd.coarse(t, 5) for t in texts))
+    for part in (np.zeros(len(texts), int), np.arange(len(texts)) % 2):
+        one, two = nd.possible_pairs(np.array(total), list(cells), np.arange(len(texts)), part, 0.8)
+        found = {(min(p), max(p)) for p in zip(one.tolist(), two.tolist())}
+        bags = [bag(t) for t in texts]
+        asked = {(i, j) for j in range(len(texts)) for i in range(j) if not part.any() or part[i] != part[j]}
+        assert {p for p in asked if similarity(bags[p[0]], bags[p[1]]) >= 0.8} <= found < asked
