@@ -153,3 +153,16 @@ def test_bound_lets_all_alike_pairs_through():
         bags = [bag(t) for t in texts]
         asked = {(i, j) for j in range(len(texts)) for i in range(j) if not part.any() or part[i] != part[j]}
         assert {p for p in asked if similarity(bags[p[0]], bags[p[1]]) >= 0.8} <= found < asked
+
+
+def test_truncation_chains_inside_large_groups(spark):
+    """In each group one text is linked by a single other one, which is soon in the class of a more central text."""
+    random.seed(5)
+    rows = []
+    for g in range(40):
+        base = [f"g{g}-{k}" for k in range(400)]
+        cuts = random.sample(range(336, 401), 25) + [324, 264]
+        rows += [(100 * g + k, " ".join(base[:cut])) for k, cut in enumerate(cuts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = found_classes(nd.classes(spark, docs).collect())
+    assert got == brute_classes(rows) and len(got) == 40
