@@ -18,7 +18,8 @@ from rosterlake.llm.common import table, with_columns
 @dataclass(frozen=True)
 class Kind:
     """``pattern`` proposes, ``needs`` is a cheap test that a text can hold the kind at all, ``base`` kinds are
-    kept whenever they are confirmed; others need ``least`` points. Words of ``context`` just before add to the score."""
+    kept whenever they are confirmed; others need ``least`` points. Words of ``context`` just before add to the score,
+    also to those of the numbers that follow in a list."""
 
     name: str
     pattern: str
@@ -29,16 +30,26 @@ class Kind:
 
 
 _OCTET = r"0*(?:[0-9]|[1-9][0-9]|1[0-9][0-9]|2[0-4][0-9]|25[0-5])"
+#: Characters of an account number by country, after the country and two check digits.
+_IBAN = {
+    11: "NO", 12: "BE", 14: "DK FI FK FO GL NL SD", 15: "MK SI", 16: "AT BA EE KZ LT LU MN XK", 17: "CH HR LI LV",
+    18: "BG BH CR DE GB GE IE ME RS VA", 19: "AE GI IL IQ OM SO TL", 20: "AD CZ ES MD PK RO SA SE SK TN VG", 21: "LY PT ST",
+    22: "IS TR", 23: "BI DJ FR GR IT MC MR SM", 24: "AL AZ BY CY DO GT HN HU LB NI PL SV", 25: "BR EG PS QA UA",
+    26: "JO KW MU YE", 27: "MT SC", 28: "LC", 29: "RU",
+}
+_KNOWN_IBAN = "(?:" + "|".join(rf"(?:{c.replace(' ', '|')})[0-9]{{2}}(?:\x20?[A-Z0-9]){{{n}}}" for n, c in _IBAN.items()) + ")(?![A-Za-z0-9])"
 KINDS = (
     Kind("email", r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++", "@", 0.8, "mail|contact|write"),
     Kind("ip", r"(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++", ".", 0.5, "ip|host|server|address"),
     # whole runs only, so a run of another length is no proposal
     Kind("card", r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){12,18}+(?![\x20-]?[0-9])", "", 0.7, "card|visa|credit|pay"),
     Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", "+", 0.7, "phone|tel|call|mobile|fax"),
-    Kind("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}+(?![A-Za-z0-9])", "", 0.9, "iban|bank|account|konto", False),
+    # as long as its country has it, else the whole run up to the next such number
+    Kind("iban", rf"(?<![A-Za-z0-9])(?:{_KNOWN_IBAN}|[A-Z]{{2}}[0-9]{{2}}(?:(?!\x20{_KNOWN_IBAN})\x20?[A-Z0-9]){{11,30}}+(?![A-Za-z0-9]))", "", 0.9, "iban|bank|account|konto", False),
     Kind("ssn", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", "-", 0.3, "ssn|social|security", False),
 )
 LEAST, CONTEXT_POINTS, CONTEXT_CHARS = 0.5, 0.2, 40
+_BETWEEN = r"^(?:[\s,;/|&+]++|and|or)*+$"  # what parts the numbers of a list
 
 
 def _digits(hit: Column) -> Column:
@@ -75,6 +86,13 @@ def _proposals(kind: Kind, text: Column) -> tuple[Column, Column]:
     return F.split(text, kind.pattern, -1), F.regexp_extract_all(text, pattern, F.lit(0))
 
 
+def _near(kind: Kind, state: Column, part: Column) -> tuple[Column, Column]:
+    """The text just before a match, earlier matches too, and whether it has words of context, or the match
+    goes on with a list that has. ``state``: the text up to the last match (``tail``), and whether that was ``near``."""
+    before = F.right(F.concat(state["tail"], part), F.lit(CONTEXT_CHARS))
+    return before, F.lower(before).rlike(rf"(?:{kind.context})") | (state["near"] & part.rlike(_BETWEEN))
+
+
 def spans(kind: Kind, text: Column) -> Column:
     """Array of (start, end, score) in code points, end exclusive; empty for a text without any."""
     empty = F.array().cast("array<struct<s:bigint,e:bigint,score:double>>")
@@ -82,17 +100,20 @@ def spans(kind: Kind, text: Column) -> Column:
     sizes = F.zip_with(
         F.slice(parts, 1, F.size(hits)), hits,
         lambda part, hit: F.struct(F.length(part).cast("long").alias("gap"), F.length(hit).cast("long").alias("size"),
-                                   F.lower(F.right(part, F.lit(CONTEXT_CHARS))).alias("before"), confirmed(kind, hit).alias("ok")),
+                                   part.alias("part"), hit.alias("hit"), confirmed(kind, hit).alias("ok")),
     )
-    begin = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<struct<s:bigint,e:bigint,score:double>>").alias("found"))
+    begin = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("tail"), F.lit(False).alias("near"), F.array().cast("array<struct<s:bigint,e:bigint,score:double>>").alias("found"))
 
     def step(state: Column, x: Column) -> Column:
         start = state["at"] + x["gap"]
-        score = F.lit(kind.score) + F.when(x["before"].rlike(rf"(?:{kind.context})"), CONTEXT_POINTS).otherwise(0.0)
+        before, near = _near(kind, state, x["part"])
+        score = F.lit(kind.score) + F.when(near, CONTEXT_POINTS).otherwise(0.0)
         good = x["ok"] if kind.base else x["ok"] & (score >= LEAST)
         span = F.struct(start.alias("s"), (start + x["size"]).alias("e"), score.alias("score"))
         return F.struct(
             (start + x["size"]).alias("at"),
+            F.right(F.concat(before, x["hit"]), F.lit(CONTEXT_CHARS)).alias("tail"),
+            near.alias("near"),
             F.when(good, F.array_append(state["found"], span)).otherwise(state["found"]).alias("found"),
         )
 
@@ -110,17 +131,23 @@ def _masked(kind: Kind, text: Column) -> Column:
     """``text`` with each accepted span as the kind's name in brackets."""
     parts, hits = _proposals(kind, text)
 
-    def accepted(part: Column, hit: Column) -> Column:
-        if kind.base:
-            return confirmed(kind, hit)
-        near = F.lower(F.right(part, F.lit(CONTEXT_CHARS))).rlike(rf"(?:{kind.context})")
-        return confirmed(kind, hit) & (F.lit(kind.score) + F.when(near, CONTEXT_POINTS).otherwise(0.0) >= LEAST)
+    def step(state: Column, x: Column) -> Column:
+        before, near = _near(kind, state, x["part"])
+        good = confirmed(kind, x["hit"]) & (F.lit(kind.score) + F.when(near, CONTEXT_POINTS).otherwise(0.0) >= LEAST)
+        return F.struct(
+            F.right(F.concat(before, x["hit"]), F.lit(CONTEXT_CHARS)).alias("tail"),
+            near.alias("near"),
+            F.array_append(state["good"], good).alias("good"),
+        )
 
-    whole = F.array_join(
-        F.zip_with(parts, hits, lambda part, hit: F.when(hit.isNull(), part).otherwise(
-            F.concat(part, F.when(accepted(part, hit), F.lit(f"[{kind.name.upper()}]")).otherwise(hit)))),
-        "",
-    )
+    if kind.base:
+        good = F.transform(hits, lambda hit: confirmed(kind, hit))
+    else:
+        begin = F.struct(F.lit("").alias("tail"), F.lit(False).alias("near"), F.array().cast("array<boolean>").alias("good"))
+        both = F.zip_with(F.slice(parts, 1, F.size(hits)), hits, lambda part, hit: F.struct(part.alias("part"), hit.alias("hit")))
+        good = F.aggregate(both, begin, step, lambda state: state["good"])
+    shown = F.zip_with(hits, good, lambda hit, ok: F.when(ok, F.lit(f"[{kind.name.upper()}]")).otherwise(hit))
+    whole = F.array_join(F.zip_with(parts, shown, lambda part, hit: F.concat(part, F.coalesce(hit, F.lit("")))), "")
     return F.when(_possible(kind, text), whole).otherwise(text)
 
 

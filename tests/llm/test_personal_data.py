@@ -73,3 +73,28 @@ def test_awkward_rows(spark, awkward, nothing):
     texts = {r.text for r in stage.collect()}
     assert None in texts and "a text without an id, but with [EMAIL]" in texts
     assert pd.stage(spark, nothing, "").count() == 0
+
+
+def test_numbers_with_neighbours(spark):
+    """An account number ends where its country says; context reaches over earlier matches and along a list."""
+    ssns = [f"{100 + k}-45-6789" for k in range(8)]
+    rows = {
+        "IBAN DE89 3704 0044 0532 0130 00 BIC COBADEFFXXX": ["DE89 3704 0044 0532 0130 00"],
+        "pay DE89 3704 0044 0532 0130 00 EUR 50": ["DE89 3704 0044 0532 0130 00"],
+        "DE89 3704 0044 0532 0130 00 GB82 WEST 1234 5698 7654 32 NO93 8601 1117 947": [
+            "DE89 3704 0044 0532 0130 00", "GB82 WEST 1234 5698 7654 32", "NO93 8601 1117 947"],
+        "REF AB12 CDEF 3456 7890 DE89 3704 0044 0532 0130 00 EUR": ["DE89 3704 0044 0532 0130 00"],
+        "DE89370400440532013000EUR50": [],
+        "SSN 123-45-6789, 987-65-4321": ["123-45-6789", "987-65-4321"],
+        "ssn: " + ", ".join(ssns) + " and 900-45-6789": [*ssns, "900-45-6789"],
+        "123-45-6789, 987-65-4321": [],
+        "SSN 123-45-6789 " + "x " * 30 + "987-65-4321": ["123-45-6789"],
+    }
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    for r in pd.find(docs).collect():
+        assert [r.text[x.s : x.e] for x in r.iban + r.ssn] == rows[r.text]
+    for r in pd.mask(docs).collect():
+        text = list(rows)[r.doc_id]
+        for hit in rows[text]:
+            text = text.replace(hit, "[SSN]" if hit[3] == "-" else "[IBAN]")
+        assert r.text == text
