@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from rosterlake.llm.archives import OP5_SQL, op5_warc_packages
+from rosterlake.llm.divergence import OP11_SQL, op11_source_divergence
 from rosterlake.llm.fingerprints import op8_fingerprints
 from rosterlake.llm.language_id import op2_language_id
 from rosterlake.llm.licences import OP4_SQL, op4_license_scan
@@ -11,6 +12,7 @@ from rosterlake.llm.near_duplicates import op10_near_duplicates
 from rosterlake.llm.packing import op3_best_fit_packing
 from rosterlake.llm.personal_data import op7_personal_data
 from rosterlake.llm.quality import op9_quality_rules
+from rosterlake.llm.sharding import OP12_SQL, op12_sharding
 from rosterlake.llm.token_counts import op1_token_counts
 
 QUERIES = {
@@ -24,5 +26,13 @@ QUERIES = {
     "op8_fingerprints": op8_fingerprints,
     "op9_quality_rules": op9_quality_rules,
     "op10_near_duplicates": op10_near_duplicates,
+    "op11_source_divergence": op11_source_divergence,
+    "op12_sharding": op12_sharding,
+}
+ORACLE: dict[str, str] = {
+    "op4_license_scan": OP4_SQL,
+    "op5_warc_packages": OP5_SQL,
+    "op6_source_mixing": OP6_SQL,
+    "op11_source_divergence": OP11_SQL,
+    "op12_sharding": OP12_SQL,
 }
-ORACLE: dict[str, str] = {"op4_license_scan": OP4_SQL, "op5_warc_packages": OP5_SQL, "op6_source_mixing": OP6_SQL}
