@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from rosterlake.llm.archives import OP5_SQL, op5_warc_packages
+from rosterlake.llm.collocations import OP13_SQL, op13_collocations
 from rosterlake.llm.divergence import OP11_SQL, op11_source_divergence
 from rosterlake.llm.fingerprints import op8_fingerprints
 from rosterlake.llm.language_id import op2_language_id
@@ -28,6 +29,7 @@ QUERIES = {
     "op10_near_duplicates": op10_near_duplicates,
     "op11_source_divergence": op11_source_divergence,
     "op12_sharding": op12_sharding,
+    "op13_collocations": op13_collocations,
 }
 ORACLE: dict[str, str] = {
     "op4_license_scan": OP4_SQL,
@@ -35,4 +37,5 @@ ORACLE: dict[str, str] = {
     "op6_source_mixing": OP6_SQL,
     "op11_source_divergence": OP11_SQL,
     "op12_sharding": OP12_SQL,
+    "op13_collocations": OP13_SQL,
 }

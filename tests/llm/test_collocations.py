@@ -1,0 +1,105 @@
+import re
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from rosterlake.llm import collocations as co
+from rosterlake.llm.divergence import text_buffer
+
+
+def pieces(text):
+    lowered = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+    return [re.findall(r"[^\x20\x09]+", p) for p in re.split(r"[.,;:!?\x0A-\x0D]", lowered)]
+
+
+def grams(text, least=1, most=4):
+    for words in pieces(text):
+        for m in range(least, most + 1):
+            for i in range(len(words) - m + 1):
+                yield tuple(words[i : i + m])
+
+
+def wanted(rows, least, top):
+    """The collocations by plain loops over (lang, text)."""
+    out = []
+    for lang in {r[0] or "und" for r in rows}:
+        texts = [t for g, t in rows if (g or "und") == lang]
+        f = Counter(g for t in texts for g in grams(t))
+        n = sum(v for g, v in f.items() if len(g) == 1)
+        candidates = {g for g, v in f.items() if len(g) > 1 and v >= least}
+        dropped = {
+            g[i : i + m] for g in candidates for m in range(2, len(g)) for i in range(len(g) - m + 1) if 100 * f[g] >= 80 * f[g[i : i + m]]
+        }
+        rated = []
+        for g in candidates - dropped:
+            score, k = min((2_000_000 * f[g] // (f[g[:k]] + f[g[k:]]), k) for k in range(1, len(g)))
+            rated.append((-score, -f[g], " ".join(g).encode(), f[g[:k]], f[g[k:]]))
+        out += [(lang, i, p.decode(), -a, left, right, n, -score) for i, (score, a, p, left, right) in enumerate(sorted(rated)[:top], 1)]
+    return sorted(out)
+
+
+def found(spark, rows, least, top):
+    docs = spark.createDataFrame(rows, "lang string, text string")
+    return sorted(tuple(r) for r in co.collocations(spark, docs, least, top).collect())
+
+
+def sentences(seed, n):
+    rng = np.random.default_rng(seed)
+    words = ["the", "The", "of", "New", "york", "CITY", "in", "état", "日本", "a", "b-c", "x'y"]
+    ends = [" ", "  ", "\t", ", ", ". ", "\n", ";", "! ", " "]
+    return ["".join(words[int(12 * rng.random() ** 2)] + ends[int(rng.integers(9))] for _ in range(rng.integers(0, 40))) for _ in range(n)]
+
+
+def test_equals_plain_loops(spark):
+    texts = sentences(1, 120)
+    rows = [(("en", "de", None)[i % 3], t) for i, t in enumerate(texts)] + [("en", None), ("fr", ""), (None, "the the the the the the")]
+    for least, top in ((3, 2000), (6, 5)):
+        assert found(spark, rows, least, top) == wanted(rows, least, top)
+
+
+def test_small_filters_let_chance_through_but_results_stay(spark, monkeypatch):
+    """With filters of a single slot nearly everything passes; the exact sums still decide."""
+    rows = [("en", t) for t in sentences(2, 60)]
+    plain = wanted(rows, 5, 100)
+    monkeypatch.setattr(co, "_FILTER_BITS", (6, 6))
+    assert found(spark, rows, 5, 100) == plain
+    monkeypatch.setattr("rosterlake.llm.common.fits_broadcast", lambda *_: False)
+    assert found(spark, rows, 5, 100) == plain
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text(alphabet="ab Ä.\t\n\x00", max_size=30), max_size=8))
+def test_partitions_of_a_shard_are_counts(texts):
+    shard = co.Shard(*text_buffer(pa.array(["before", *texts], pa.string()).slice(1)))
+    lang = np.arange(len(texts)) % 2
+    got = Counter()
+    for depth, pointer, size in shard.partitions(lang, np.ones(len(shard.code), bool), 1, 1, 4):
+        for p, n in zip(pointer, size):
+            got[int(lang[shard.text[p]]), tuple(shard.words[int(c)].as_py() for c in shard.code[p : p + depth])] += int(n)
+    assert got == Counter((i % 2, g) for i, t in enumerate(texts) for g in grams(t))
+
+
+def test_hot_pair_and_group(spark):
+    """One language and one pair hold most of everything."""
+    rows = [("en", "new york " * 50)] * 40 + [("en", f"lonely word{i} here") for i in range(40)]
+    assert found(spark, rows, 30, 10) == wanted(rows, 30, 10)
+
+
+def test_awkward_rows(spark, awkward, nothing):
+    rows = [(r.lang, r.text) for r in awkward.select("lang", "text").collect()]
+    got = co.collocations(spark, awkward, 3, 50)
+    assert got.columns == ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
+    assert sorted(tuple(r) for r in got.collect()) == wanted(rows, 3, 50)
+    assert co.collocations(spark, nothing).count() == 0
+
+
+def test_products_beyond_64_bits(spark):
+    row = spark.createDataFrame([(9 * 10**15, 9 * 10**15, 10**16)], "a long, l long, r long").select(co._score("a", "l", "r").alias("s")).first()
+    assert row.s == 2_000_000 * 9 * 10**15 // (19 * 10**15)
+    big = [("en", "a b", 2, 8 * 10**17), ("en", "a b c", 3, 7 * 10**17)]
+    kept = co.not_inside_others(spark.createDataFrame(big, "lang string, phrase string, words int, a long")).collect()
+    assert [r.phrase for r in kept] == ["a b c"]

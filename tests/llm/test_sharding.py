@@ -1,0 +1,71 @@
+from collections import Counter
+
+from pyspark.sql import functions as F
+
+from rosterlake.llm import sharding as sh
+
+
+def test_permutation_and_its_inverse(spark):
+    for rows in (1, 2, 3, 6, 10, 37, 1000, 4097):
+        got = spark.range(rows).select("id", sh.position(F.col("id"), rows, 5).alias("p")).select("id", "p", sh.number_at(F.col("p"), rows, 5).alias("b")).collect()
+        assert sorted(r.p for r in got) == list(range(rows)) and all(r.b == r.id for r in got)
+    assert [r.p for r in got] != list(range(rows))
+    other = spark.range(rows).select(sh.position(F.col("id"), rows, 6).alias("p")).collect()
+    assert [r.p for r in got] != [r.p for r in other]
+    # neighbours part
+    assert sum(abs(x.p - y.p) < 40 for x, y in zip(got, got[1:])) < 200
+
+
+def test_large_numbers(spark):
+    rows = 10**14 + 7
+    got = spark.range(0, rows, rows // 50).select("id", sh.position(F.col("id"), rows).alias("p")).select("id", "p", sh.number_at(F.col("p"), rows).alias("b")).collect()
+    assert all(0 <= r.p < rows and r.b == r.id for r in got)
+
+
+def check(rows, shards, total):
+    sizes = Counter(r.shard for r in rows)
+    assert len(rows) == total and max(sizes.values()) - min(sizes[s] for s in range(shards)) <= 1
+    for s in range(shards):
+        assert sorted(r.slot for r in rows if r.shard == s) == list(range(sizes[s]))
+
+
+def test_rows_law_whatever_the_partitions(spark, documents):
+    docs = documents.select("doc_id", "text")
+    one = sh.sharded(spark, docs, 7).collect()
+    check(one, 7, documents.count())
+    path = spark.conf.get("spark.checkpoint.dir") + "/other-layout"
+    docs.orderBy(F.rand(3)).repartition(9).write.parquet(path)
+    two = sh.sharded(spark, spark.read.parquet(path), 7).collect()
+    assert sorted((r.doc_id, r.shard, r.slot) for r in one) == sorted((r.doc_id, r.shard, r.slot) for r in two)
+    numbers = {r.row_number: r.doc_id for r in one}
+    assert [numbers[i] for i in range(len(numbers))] == sorted(numbers.values())
+
+
+def test_many_equal_rows(spark):
+    """A third of the rows is one and the same: it is cut into ranges like any others."""
+    docs = spark.range(3000).select(F.when(F.col("id") % 3 == 0, None).otherwise(F.col("id")).alias("doc_id"))
+    path = spark.conf.get("spark.checkpoint.dir") + "/equal-rows"
+    docs.write.parquet(path)
+    check(sh.sharded(spark, spark.read.parquet(path), 16).collect(), 16, 3000)
+
+
+def test_awkward_rows(spark, awkward, nothing):
+    got = sh.sharded(spark, awkward.withColumn("slot", F.lit("theirs")).withColumn("shard", F.lit("theirs")), 4, ("doc_id", "text"))
+    check(got.collect(), 4, awkward.count())
+    assert set(got.columns) == {*awkward.columns, "row_number", "shard", "slot"}
+    assert sh.sharded(spark, nothing, 4).count() == 0
+    few = sh.sharded(spark, awkward.limit(2), 16).collect()
+    assert sorted((r.shard, r.slot) for r in few) == [(0, 0), (1, 0)]
+
+
+def test_files_hold_the_slots_in_order(spark, documents, tmp_path):
+    sh.write_shards(spark, documents, str(tmp_path / "out"), 3)
+    back = spark.read.parquet(str(tmp_path / "out")).select("*", F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("at")).collect()
+    check(back, 3, documents.count())
+    by_file = {}
+    for r in sorted(back, key=lambda r: r["at"]):
+        by_file.setdefault(r.file, []).append((r.shard, r.slot))
+    for places in by_file.values():
+        shard, first = places[0]
+        assert places == [(shard, first + i) for i in range(len(places))]
+    assert {r.doc_id: r.text for r in back} == {r.doc_id: r.text for r in documents.collect()}
