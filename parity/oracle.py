@@ -11,6 +11,8 @@ both engines give the same bits:
 from __future__ import annotations
 
 from rosterlake.config import (
+    CORRELATED_MEASURES,
+    CORRELATED_QUALITIES,
     DAILY_METRIC_COLUMNS,
     DRILL_DOWN_LABELS,
     DRILL_DOWN_TWO_DECIMALS,
@@ -247,6 +249,14 @@ _CTES: dict[str, tuple[tuple[str, ...], str]] = {
     "pbj": (("days",), _pbj("days")),
     "prov": ((), _PROV),
     "joined": (("pbj", "prov"), _joined("pbj")),
+    "listed": (("prov",), """
+SELECT * FROM prov
+UNION ALL SELECT * REPLACE (overall_rating + 1 AS overall_rating) FROM prov WHERE CAST(CCN AS INT) % 10 = 3
+UNION ALL SELECT * REPLACE (CAST(NULL AS DOUBLE) AS certified_beds) FROM prov WHERE CAST(CCN AS INT) % 10 = 7
+UNION ALL SELECT * FROM prov WHERE CAST(CCN AS INT) % 25 = 4"""),
+    "unique_prov": (("listed",), "SELECT * FROM listed QUALIFY row_number() OVER (PARTITION BY CCN ORDER BY "
+                    + " + ".join(f"CAST({n} IS NOT NULL AS INT)" for n, _ in list(PROVIDER_FIELDS.values())[1:]) + " DESC, "
+                    + ", ".join(f"{n} DESC NULLS LAST" for n, _ in list(PROVIDER_FIELDS.values())[1:]) + ") = 1"),
     "silver": (("joined",), _silver("joined", _LABEL)),
     "daily": (("silver",), _daily("silver")),
     "facility": (("daily",), _facility("daily")),
@@ -543,11 +553,36 @@ FROM range(50) r(b), (SELECT min(least(MDScensus,300)) AS lo, max(least(MDScensu
         "SELECT facility.*, n AS stored_days FROM facility JOIN (SELECT PROVNUM, quarter, count(WorkDate) AS n "
         "FROM daily GROUP BY 1, 2) USING (PROVNUM, quarter)", "facility", "daily"),
     "table_size": sql('SELECT count(*) AS "rows", CAST(30 AS INTEGER) AS "columns" FROM facility', "facility"),
-    "schema_contract": _each([
-        f"SELECT '{n}' AS column_name, '{'missing' if n == 'quarter' else 'ok'}' AS status"
-        for n in [*STAFFING_COLUMNS, *_PROVIDER_NAMES, "CNA_hrs_per_patient", "RN_hrs_per_patient",
-                  "total_hrs_per_patient", "contracted_rn_ratio", "staffing_tier", "quarter"]
-    ] + ["SELECT 'surprise' AS column_name, 'unexpected' AS status"]),
+    "schema_contract": sql(_each([
+        f"SELECT '{n}' AS column_name, "
+        + ("'missing' AS status, CAST(NULL AS BIGINT) AS filled_rows" if n == "provider_type" else
+           f"'ok' AS status, (SELECT count({source}) FROM silver) AS filled_rows")
+        for n, source in [*((c, c) for c in [*STAFFING_COLUMNS, *_PROVIDER_NAMES]), ("CNA_hrs_per_patient", "cna"), ("RN_hrs_per_patient", "rn"),
+                          ("total_hrs_per_patient", "total"), ("contracted_rn_ratio", "ctr"), ("staffing_tier", "staffing_tier"), ("quarter", "quarter")]
+    ] + ["SELECT 'surprise' AS column_name, 'unexpected' AS status, (SELECT count(*) FROM silver) AS filled_rows"]), "silver"),
+    "provider_conflicts": sql(f"""
+SELECT CCN, count(*) AS rows, count(DISTINCT ({', '.join(f"coalesce(CAST({n} AS VARCHAR), '')" for n in _PROVIDER_NAMES[1:])})) AS variants,
+  concat_ws(',', {', '.join(f"CASE WHEN min({n}) <> max({n}) OR (count({n}) > 0 AND count({n}) < count(*)) THEN '{n}' END" for n in _PROVIDER_NAMES[1:])}) AS conflicts
+FROM listed GROUP BY CCN HAVING count(*) > 1""", "listed"),
+    "join_unique_provider": sql(f"SELECT {_JOINED_COLUMNS} FROM pbj LEFT JOIN unique_prov ON PROVNUM = CCN WHERE MDScensus >= 10", "pbj", "unique_prov"),
+    "landed_files": sql("""
+SELECT fresh.quarter, f.name, octet_length(encode(line)) AS length, sha256(line) AS sha256
+FROM (SELECT regexp_replace(name, '-[0-9]+\\.csv$', '.csv') AS name, quarter, count(*) || ',' || sum(id) || chr(10) AS line FROM files GROUP BY 1, 2) f
+JOIN fresh ON f.quarter IS NULL OR f.quarter = fresh.quarter""", "files", "fresh"),
+    "audit_reconciled": sql("""
+SELECT CY_Qtr, count(*) AS raw_rows, count(*) - count(*) FILTER (MDScensus >= 10) AS excluded_rows,
+  count(*) FILTER (MDScensus >= 10 AND CCN IS NOT NULL) AS silver_rows, count(*) FILTER (MDScensus >= 10 AND CCN IS NULL) AS audit_rows, true AS balanced
+FROM typed LEFT JOIN prov ON PROVNUM = CCN WHERE WorkDate IS NOT NULL GROUP BY CY_Qtr""", "typed", "prov"),
+    "quality_correlations": sql(f"""
+SELECT quarter, measure, quality, facilities,
+  CASE WHEN d > 0 THEN {up("CASE WHEN d > 0 THEN CAST(facilities*sxy - sx*sy AS DOUBLE) / d END", 6)} END AS rank_correlation
+FROM (SELECT *, sqrt(CAST(facilities*sxx - sx*sx AS DOUBLE)) * sqrt(CAST(facilities*syy - sy*sy AS DOUBLE)) AS d FROM (
+  SELECT quarter, measure, quality, count(*) AS facilities, sum(rx) AS sx, sum(ry) AS sy, sum(rx*ry) AS sxy, sum(rx*rx) AS sxx, sum(ry*ry) AS syy FROM (
+    SELECT quarter, measure, quality,
+      CAST(2*rank() OVER (PARTITION BY quarter, measure, quality ORDER BY x) + count(*) OVER (PARTITION BY quarter, measure, quality, x) - 1 AS HUGEINT) AS rx,
+      CAST(2*rank() OVER (PARTITION BY quarter, measure, quality ORDER BY y) + count(*) OVER (PARTITION BY quarter, measure, quality, y) - 1 AS HUGEINT) AS ry
+    FROM ({_each([f"SELECT quarter, '{m}' AS measure, '{q}' AS quality, {m} AS x, {q} AS y FROM facility" for m in CORRELATED_MEASURES for q in CORRELATED_QUALITIES])})
+    WHERE x IS NOT NULL AND y IS NOT NULL) GROUP BY 1, 2, 3))""", "facility"),
     "discover_files": sql(
         "SELECT DISTINCT name, fresh.quarter FROM (SELECT regexp_replace(name, '-[0-9]+\\.csv$', '.csv') AS name, quarter "
         "FROM files) f JOIN fresh ON f.quarter IS NULL OR f.quarter = fresh.quarter", "files", "fresh"),

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from parity.tables import Tables
 from rosterlake.config import (
+    CORRELATION_KEY,
     DAY_KEY,
     FACILITY_KEY,
     PROVIDER_FIELDS,
@@ -17,9 +18,9 @@ from rosterlake.config import (
 )
 from rosterlake.functions.calendar import quarter_from_name
 from rosterlake.operators import clean, generate, merge, profile
-from rosterlake.plans import serving, silver as silver_plan
-from rosterlake.session import scratch_dir
-from rosterlake.sinks import checks, tables as sinks
+from rosterlake.plans import gold, serving, silver as silver_plan
+from rosterlake.session import scratch_dir, staged
+from rosterlake.sinks import audit, checks, landing, tables as sinks
 from rosterlake.sources import csv as text
 from rosterlake.sources import manifest as manifests
 from rosterlake.sources import tables as layers
@@ -129,6 +130,21 @@ def discover_files(t: Tables) -> DataFrame:
     return manifests.assign_files(offered, fresh).select("name", "quarter")
 
 
+@query
+def landed_files(t: Tables) -> DataFrame:
+    """Offered files copied to where they belong, read back from there as bytes. A file holds how many orders have its
+    name without the number, and the sum of their keys."""
+    drop, bronze = scratch_dir(t.spark, "drop"), scratch_dir(t.spark, "landing")
+    stems = t.manifest().groupBy(F.regexp_replace("name", r"-[0-9]+\.csv$", ".csv").alias("name")).agg(
+        F.concat_ws(",", F.count("id").cast("string"), F.sum("id").cast("string")).alias("value")
+    )
+    stems.write.partitionBy("name").text(drop)
+    offered = manifests.offered_files(t.spark, drop).select("id", F.regexp_extract("id", "name=([^/]+)/", 1).alias("name"))
+    landing.land_files(t.spark, manifests.assign_files(offered, manifests.new_quarters(offered, t.landed_quarters())), bronze)
+    back = t.spark.read.format("binaryFile").load(bronze)
+    return back.select("quarter", F.element_at(F.split("path", "/"), -1).alias("name"), "length", F.sha2("content", 256).alias("sha256"))
+
+
 @query
 def sample_n(t: Tables) -> DataFrame:
     return profile.first_rows(t.staffing(), SAMPLE_ROWS)
@@ -202,6 +218,26 @@ def audit_table(t: Tables) -> DataFrame:
     return layers.read_table(t.spark, path)
 
 
+@query
+def audit_reconciled(t: Tables) -> DataFrame:
+    """One quarter by the batch run, twice; then everything by the stream, twice, each time with a new checkpoint; all into one Silver
+    and one audit log. Then the books of each quarter, over rows with a readable day (others are inserted again by definition)."""
+    bronze, provider = land_staffing(t), scratch_dir(t.spark, "provider")
+    t.provider_text().write.option("header", True).option("encoding", "ISO-8859-1").csv(provider)
+    paths = TablePaths(bronze, *[scratch_dir(t.spark, name) for name in ("silver", "gold", "audit")])
+    for _ in range(2):
+        silver_plan.run_silver(t.spark, layers.landing_path(bronze, SCAN_QUARTER), provider, paths, SCAN_QUARTER)
+    for _ in range(2):
+        load_new_days(
+            t.spark, bronze, t.provider(), paths.silver, scratch_dir(t.spark, "offsets"), paths.audit, files_per_batch=64, files="part-*.csv"
+        )
+    typed = clean.type_staffing(text.scan_staffing(t.spark, bronze))
+    dated = [rows.filter("WorkDate IS NOT NULL") for rows in (
+        typed, clean.enough_census(typed), layers.read_table(t.spark, paths.silver), audit.read_audit(t.spark, paths.audit)
+    )]
+    return audit.reconciled(*dated)
+
+
 def stored_gold(t: Tables) -> TablePaths:
     """Both Gold tables as the jobs write them."""
     paths = TablePaths(*[scratch_dir(t.spark, name) for name in ("bronze", "silver", "gold", "audit")])
@@ -237,8 +273,10 @@ def table_size(t: Tables) -> DataFrame:
 
 @query
 def schema_contract(t: Tables) -> DataFrame:
-    """Each column of Silver with its standing; one is taken away and one put in to show both."""
-    given = t.silver().drop("quarter").withColumn("surprise", F.lit(1))
+    """Each column of stored Silver with its standing and filled rows; one is taken away and one put in to show all."""
+    path = scratch_dir(t.spark, "silver")
+    sinks.create_table(t.silver(), path, silver_plan.SILVER_PARTITIONS)
+    given = layers.read_table(t.spark, path).drop("provider_type").withColumn("surprise", F.lit(1))
     return clean.contract_report(given, silver_plan.SILVER_COLUMNS)
 
 
@@ -304,6 +342,19 @@ def unmatched_ids(t: Tables) -> DataFrame:
     return clean.unmatched_ids(t.staffing(), t.provider())
 
 
+@query
+def provider_conflicts(t: Tables) -> DataFrame:
+    """What an untidy provider file says twice."""
+    return clean.provider_conflicts(t.provider_listed())
+
+
+@query
+def join_unique_provider(t: Tables) -> DataFrame:
+    """The join with an untidy provider file: as many rows as with a tidy one."""
+    providers = clean.unique_providers(t.provider_listed())
+    return clean.join_provider(clean.enough_census(t.staffing()), providers, t.provider_is_small())
+
+
 @query
 def silver(t: Tables) -> DataFrame:
     return t.silver()
@@ -350,6 +401,17 @@ def facility_summary(t: Tables) -> DataFrame:
     return t.facilities()
 
 
+@query
+def quality_correlations(t: Tables) -> DataFrame:
+    """The correlation table as a job stores it, one quarter after the other once and all again at once."""
+    path = scratch_dir(t.spark, "correlations")
+    facilities = staged(t.spark, t.facilities(), "facilities")
+    first = layers.in_quarter(facilities, SCAN_QUARTER)
+    for rows in (first, facilities):
+        sinks.upsert(t.spark, gold.quality_correlations(rows), path, CORRELATION_KEY, "quarter")
+    return layers.read_table(t.spark, path)
+
+
 @query
 def tier_distribution(t: Tables) -> DataFrame:
     return profile.tier_distribution(t.silver())
@@ -541,7 +603,7 @@ def incremental_audit(t: Tables) -> DataFrame:
     """What the same stream leaves in the audit log."""
     path = scratch_dir(t.spark, "audit")
     stream(t, scratch_dir(t.spark, "silver"), path)
-    return layers.read_table(t.spark, path).drop("batch")
+    return audit.read_audit(t.spark, path)
 
 
 @query

@@ -52,6 +52,7 @@ SHIFTED_DAYS = {4: 30, 5: 10, 6: 10}
 # --- fixed values: keys and column sets of the derived tables -------------------
 DAY_KEY = ("PROVNUM", "WorkDate")
 FACILITY_KEY = ("PROVNUM", "quarter")
+CORRELATION_KEY = ("quarter", "measure", "quality")
 FACILITY_GROUP = (
     "PROVNUM", "PROVNAME", "STATE", "CITY", "ownership_type", "provider_type",
     "certified_beds", "overall_rating", "staffing_rating", "nursing_turnover",
@@ -64,6 +65,12 @@ DAILY_METRIC_COLUMNS = (
     "meets_cms_minimums", "staffing_tier", "is_weekend", "day_of_week",
     "ownership_type", "overall_rating", "certified_beds",
 )
+# Staffing measures of a facility's quarter, and the qualities they are set against.
+CORRELATED_MEASURES = (
+    "avg_CNA_hrs_per_patient", "avg_RN_hrs_per_patient", "avg_total_hrs_per_patient",
+    "avg_contracted_rn_ratio", "pct_days_meeting_cms", "weekend_staffing_gap",
+)
+CORRELATED_QUALITIES = ("overall_rating", "staffing_rating", "nursing_turnover")
 # What the profiling report looks for after the provider join.
 EXPECTED_AFTER_JOIN = (
     "PROVNUM", "PROVNAME", "STATE", "CMS Certification Number (CCN)",
@@ -140,6 +147,10 @@ class TablePaths:
     def facility_summary(self) -> str:
         return f"{self.gold.rstrip('/')}/facility_summary"
 
+    @property
+    def quality_correlations(self) -> str:
+        return f"{self.gold.rstrip('/')}/quality_correlations"
+
     @property
     def staffing_metrics(self) -> str:
         return f"{self.gold.rstrip('/')}/staffing_metrics"

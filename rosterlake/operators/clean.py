@@ -78,13 +78,44 @@ def duplicate_providers(provider: DataFrame) -> DataFrame:
     return provider.groupBy("CCN").agg(row_count().alias("rows")).filter("rows > 1")
 
 
-def contract_report(table: DataFrame, expected: tuple[str, ...]) -> DataFrame:
-    """(column_name, status) of every expected or present column: ok, missing or unexpected."""
-    names = [*expected, *[name for name in table.columns if name not in expected]]
-    rows = [
-        (n, "missing" if n not in table.columns else "ok" if n in expected else "unexpected") for n in names
+def unique_providers(provider: DataFrame, key: str = "CCN") -> DataFrame:
+    """One row for each CCN, so that the join cannot multiply staffing rows: the one with most attributes filled, and of those the
+    greatest by its attributes in turn. A total order, so every run keeps the same. Rows without a CCN go: they join nothing."""
+    others = [name for name in provider.columns if name != key]
+    filled = sum((F.col(f"`{name}`").isNotNull().cast("int") for name in others), F.lit(0))
+    best = F.max(F.struct(filled.alias("_filled"), *(F.col(f"`{name}`") for name in others))).alias("best")
+    kept = provider.filter(F.col(key).isNotNull()).groupBy(key).agg(best)
+    return kept.select(*(F.col(key) if name == key else F.col(f"best.`{name}`") for name in provider.columns))
+
+
+def provider_conflicts(provider: DataFrame, key: str = "CCN") -> DataFrame:
+    """CCNs listed more than once: how often, in how many different rows, and the attributes in which these differ (a missing one
+    differs from any value)."""
+    others = [name for name in provider.columns if name != key]
+    differs = [
+        F.when(
+            (F.min(f"`{name}`") != F.max(f"`{name}`")) | ((F.count(f"`{name}`") > 0) & (F.count(f"`{name}`") < row_count())), F.lit(name)
+        ) for name in others
     ]
-    return table.sparkSession.createDataFrame(rows, "column_name string, status string")
+    rows = provider.filter(F.col(key).isNotNull()).groupBy(key, *others).agg(row_count().alias("_n"))
+    found = rows.groupBy(key).agg(F.sum("_n").alias("rows"), row_count().alias("variants"), F.array_join(F.array_compact(F.array(*differs)), ",").alias("conflicts"))
+    return found.filter("rows > 1")
+
+
+def contract_report(table: DataFrame, expected: tuple[str, ...]) -> DataFrame:
+    """(column_name, status, filled_rows) of every expected or present column: ok, missing or unexpected, and how many
+    rows of the table have a value in it."""
+    present = {f"c{i}": name for i, name in enumerate(table.columns)}
+    filled = table.select(*(F.col(f"`{name}`").isNotNull().cast("int").alias(slot) for slot, name in present.items()))
+    counts = filled.unpivot([], list(present), "slot", "filled").groupBy("slot").agg(F.sum("filled").alias("filled_rows"))
+    names = [*((slot, name, "ok" if name in expected else "unexpected") for slot, name in present.items()),
+             *(("", name, "missing") for name in expected if name not in table.columns)]
+    listed = table.sparkSession.range(1).select(F.inline(F.array(*(
+        F.struct(F.lit(slot).alias("slot"), F.lit(name).alias("column_name"), F.lit(status).alias("status")) for slot, name, status in names
+    ))))
+    return listed.join(F.broadcast(counts), "slot", "left").select(
+        "column_name", "status", F.when(F.col("status") != "missing", F.coalesce("filled_rows", F.lit(0).cast("long"))).alias("filled_rows")
+    )
 
 
 def require_columns(table: DataFrame, expected: tuple[str, ...]) -> DataFrame:

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, StringType
+from pyspark.sql.types import ArrayType, BinaryType, DataType, MapType, StringType, StructType
 
 from rosterlake.functions.numeric import row_count
 from rosterlake.config import DEFAULTS, Settings
@@ -13,20 +13,31 @@ from rosterlake.session import staged
 SALT, HOT, WAYS = "_salt", "_hot", "_ways"
 
 
-def fits_broadcast(lookup: DataFrame, settings: Settings = DEFAULTS) -> bool:
-    """Measure the lookup (rows and bytes) against the broadcast bounds.
+def _width(column: Column, kind: DataType) -> Column:
+    """Bytes of a value in memory, about: text and binary by length, arrays and structs by what they hold."""
+    if isinstance(kind, (StringType, BinaryType)):
+        return F.coalesce(F.octet_length(column), F.lit(0)) + 16
+    if isinstance(kind, ArrayType):
+        fixed = not isinstance(kind.elementType, (StringType, BinaryType, ArrayType, StructType, MapType))
+        held = F.size(column) * 8 if fixed else F.aggregate(column, F.lit(0), lambda so_far, x: so_far + _width(x, kind.elementType))
+        return F.coalesce(F.when(column.isNotNull(), held), F.lit(0)) + 24
+    if isinstance(kind, StructType):
+        return sum((_width(column[field.name], field.dataType) for field in kind.fields), F.lit(16))
+    if isinstance(kind, MapType):
+        return _width(F.map_keys(column), ArrayType(kind.keyType)) + _width(F.map_values(column), ArrayType(kind.valueType))
+    return F.lit(16)
 
-    One aggregation with map-side partials: two numbers reach the driver.
-    """
-    width = F.lit(0)
-    for field in lookup.schema.fields:
-        if isinstance(field.dataType, (StringType, BinaryType)):
-            width = width + F.coalesce(F.octet_length(F.col(f"`{field.name}`")), F.lit(0)) + 16
-        else:
-            width = width + 16
-    rows, size = lookup.agg(
-        row_count(), F.coalesce(F.sum(width.cast("long")), F.lit(0))
-    ).first()
+
+def lookup_size(lookup: DataFrame) -> tuple[int, int]:
+    """Rows and bytes of a lookup. One aggregation with map-side partials: two numbers reach the driver."""
+    width = sum((_width(F.col(f"`{field.name}`"), field.dataType) for field in lookup.schema.fields), F.lit(0))
+    rows, size = lookup.agg(row_count(), F.coalesce(F.sum(width.cast("long")), F.lit(0))).first()
+    return rows, size
+
+
+def fits_broadcast(lookup: DataFrame, settings: Settings = DEFAULTS) -> bool:
+    """Measure the lookup (rows and bytes) against the broadcast bounds."""
+    rows, size = lookup_size(lookup)
     return rows <= settings.broadcast_max_rows and size <= settings.broadcast_max_bytes
 
 

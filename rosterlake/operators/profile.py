@@ -1,7 +1,8 @@
 """Data-quality reports over staffing rows.
 
-Reports over many columns are one aggregation whose single row is then turned into
-one row per column, so the table is read once however many columns are asked for.
+Reports over many columns read the table once. Those that only count filled rows are one aggregation whose single row is
+turned into one row per column; those with sums and means turn values into (column, value) rows first and group by
+column, so that the aggregate has a few accumulators instead of some for every column, and stays in generated code.
 """
 
 from __future__ import annotations
@@ -49,6 +50,19 @@ def _per_column(table: DataFrame, measures: dict[str, list[Column]]) -> DataFram
     return one_row.select(F.inline(rows)).select("column_name", "m.*")
 
 
+def _by_column(table: DataFrame, columns: dict[str, str] | tuple[str, ...], measures: list[Column]) -> DataFrame:
+    """Aggregate the numbers of some columns (label to column, or names) as (column_name, value) rows: one row per
+    column, also over an empty table."""
+    labels = columns if isinstance(columns, dict) else dict(zip(columns, columns))
+    wide = table.select(*(F.col(f"`{name}`").cast("double").alias(f"c{i}") for i, name in enumerate(labels.values())))
+    long = wide.unpivot([], [f"c{i}" for i in range(len(labels))], "slot", "value")
+    found = long.groupBy("slot").agg(*measures)
+    every = table.sparkSession.range(1).select(F.explode(F.create_map(*(
+        F.lit(x) for i, label in enumerate(labels) for x in (f"c{i}", label)
+    ))).alias("slot", "column_name"))
+    return every.join(F.broadcast(found), "slot", "left").drop("slot")
+
+
 # --- shape -------------------------------------------------------------------
 
 def schema_report(table: DataFrame) -> DataFrame:
@@ -137,36 +151,32 @@ def nan_as_null(table: DataFrame) -> DataFrame:
 def missing_report(table: DataFrame) -> DataFrame:
     """Columns with NULLs (or NaN): how many, and what share of all rows."""
     table = nan_as_null(table)
-    report = _per_column(table, {
-        name: [
-            F.count_if(F.col(f"`{name}`").isNull()).alias("missing_count"),
-            F.bround(percent(F.count_if(F.col(f"`{name}`").isNull()), row_count()), 2)
-            .alias("missing_pct"),
-        ]
-        for name in table.columns
-    })
+    absent = {f"c{i}": F.col(f"`{name}`").isNull().cast("int") for i, name in enumerate(table.columns)}
+    long = table.select(*(flag.alias(slot) for slot, flag in absent.items())).unpivot([], list(absent), "slot", "absent")
+    name_of = F.create_map(*(F.lit(x) for slot, name in zip(absent, table.columns) for x in (slot, name)))
+    report = long.groupBy("slot").agg(F.sum("absent").alias("missing_count"), row_count().alias("rows")).select(
+        name_of[F.col("slot")].alias("column_name"),
+        "missing_count",
+        F.bround(percent(F.col("missing_count"), F.col("rows")), 2).alias("missing_pct"),
+    )
     return report.filter("missing_count > 0").orderBy(F.desc("missing_count"), "column_name")
 
 
 def zero_report(table: DataFrame, columns: tuple[str, ...] = HOUR_COLUMNS) -> DataFrame:
     """Zeros per hour column, and the mean of what is above zero."""
-    table = nan_as_null(table)
-    rows = row_count()
-
-    def measures(name: str) -> list[Column]:
-        value = F.col(name)
-        zeros = F.count_if(value == 0)
-        above = F.when(value > 0, value)
-        return [
-            zeros.alias("zero_count"),
-            F.bround(percent(zeros, rows), 1).alias("zero_pct"),
-            F.when(zeros == rows, F.lit(0.0))
-            .otherwise(exact_mean(above, 2, half_even=True))
-            .alias("mean_nonzero"),
-        ]
-
-    report = _per_column(table, {name: measures(name) for name in columns})
-    return report.orderBy(F.desc("zero_pct"), "column_name")
+    value = F.col("value")
+    zeros, rows = F.count_if(value == 0), row_count()
+    report = _by_column(nan_as_null(table), columns, [
+        zeros.alias("zero_count"),
+        F.bround(percent(zeros, rows), 1).alias("zero_pct"),
+        F.when(zeros == rows, F.lit(0.0)).otherwise(exact_mean(F.when(value > 0, value), 2, half_even=True)).alias("mean_nonzero"),
+    ])
+    counted = report.withColumns({
+        "zero_count": F.coalesce("zero_count", F.lit(0).cast("long")),
+        # over no rows at all, none is above zero
+        "mean_nonzero": F.when(F.col("zero_count").isNull(), 0.0).otherwise(F.col("mean_nonzero")),
+    })
+    return counted.orderBy(F.desc("zero_pct"), "column_name")
 
 
 def describe_stats(
@@ -174,19 +184,16 @@ def describe_stats(
 ) -> DataFrame:
     """Count, mean, sample deviation, extremes and exact quartiles per column."""
     table = nan_as_null(table)
-    stats = _per_column(table, {
-        name: [
-            F.count(name).alias("count"),
-            exact_mean(name, digits, half_even=True).alias("mean"),
-            F.round(F.stddev_samp(name), digits).alias("std"),
-            F.bround(F.min(name).cast("double"), digits).alias("min"),
-            F.bround(F.max(name).cast("double"), digits).alias("max"),
-        ]
-        for name in columns
-    })
+    stats = _by_column(table, columns, [
+        F.count("value").alias("count"),
+        exact_mean("value", digits, half_even=True).alias("mean"),
+        F.round(F.stddev_samp("value"), digits).alias("std"),
+        F.bround(F.min("value"), digits).alias("min"),
+        F.bround(F.max("value"), digits).alias("max"),
+    ])
     quartiles = exact_quantiles(table, columns, {"p25": 0.25, "p50": 0.5, "p75": 0.75})
     return stats.join(quartiles, "column_name", "left").select(
-        "column_name", "count", "mean", "std", "min",
+        "column_name", F.coalesce("count", F.lit(0).cast("long")).alias("count"), "mean", "std", "min",
         *[F.bround(p, digits).alias(p) for p in ("p25", "p50", "p75")],
         "max",
     )
@@ -196,22 +203,15 @@ def outlier_check(
     table: DataFrame, columns: tuple[str, ...] = STATS_COLUMNS[1:], settings: Settings = DEFAULTS
 ) -> DataFrame:
     """Largest value and rows above the plausible daily hours, per column."""
-    table = nan_as_null(table)
-    return _per_column(table, {
-        name: [
-            F.max(name).alias("max_value"),
-            F.count_if(F.col(name) > settings.outlier_hours).alias("rows_over"),
-        ]
-        for name in columns
-    })
+    report = _by_column(nan_as_null(table), columns, [
+        F.max("value").alias("max_value"), F.count_if(F.col("value") > settings.outlier_hours).alias("rows_over"),
+    ])
+    return report.withColumn("rows_over", F.coalesce("rows_over", F.lit(0).cast("long")))
 
 
 def hours_by_type(table: DataFrame, labels: dict[str, str] = NURSE_TYPE_LABELS) -> DataFrame:
     """Mean daily hours of each nurse type."""
-    report = _per_column(
-        table, {label: [full_mean(name).alias("avg_hours")] for label, name in labels.items()}
-    )
-    return report.withColumnRenamed("column_name", "nurse_type")
+    return _by_column(table, labels, [full_mean("value").alias("avg_hours")]).withColumnRenamed("column_name", "nurse_type")
 
 
 def facilities_per_state(staffing: DataFrame, n: int | None = 20) -> DataFrame:

@@ -16,47 +16,52 @@ from rosterlake.functions.numeric import row_count
 BUCKETS = 64
 
 
-def exact_quantiles(
-    table: DataFrame, columns: tuple[str, ...], probabilities: dict[str, float]
-) -> DataFrame:
-    """One row per column, one output column per named probability.
-
-    Linear interpolation between the two closest ranks; NULLs are left out.
+def running_counts(counts: DataFrame, by: tuple[str, ...]) -> DataFrame:
+    """(value, n) rows of each key with the ranks they take: ``from`` (inclusive) up to ``upto`` (exclusive) of ``total``,
+    counted from 0 in the order of values. No window orders a whole key: only one of its ``BUCKETS`` buckets, and their sums.
     """
-    counts = (
-        table.select(*[F.col(c).cast("double").alias(c) for c in columns])
-        .unpivot([], list(columns), "column_name", "value")
-        .filter(F.col("value").isNotNull())
-        .groupBy("column_name", "value")
-        .agg(row_count().alias("n"))
-    )
     # A quantile sketch of the distinct values: bounded in size, and only used to
     # place bucket borders, so its error never reaches the result. Asking for n keeps
     # this branch's shuffle identical to the main one, so Spark runs it once.
-    borders = counts.filter("n > 0").groupBy("column_name").agg(
+    borders = counts.filter("n > 0").groupBy(*by).agg(
         F.percentile_approx("value", [i / BUCKETS for i in range(1, BUCKETS)], 2000).alias("borders")
     )
-    # One row of BUCKETS - 1 doubles per profiled column: bounded by construction.
-    bucketed = counts.join(F.broadcast(borders), "column_name").select(
-        "column_name", "value", "n",
-        F.size(F.filter("borders", lambda border: border < F.col("value"))).alias("bucket"),
+    # One row of BUCKETS - 1 doubles per key: columns of a report, not values.
+    bucketed = counts.join(F.broadcast(borders), list(by)).select(
+        *by, "value", "n", F.size(F.filter("borders", lambda border: border < F.col("value"))).alias("bucket"),
     )
-    per_column = Window.partitionBy("column_name")
+    per_key = Window.partitionBy(*by)
     totals = (
-        bucketed.groupBy("column_name", "bucket")
+        bucketed.groupBy(*by, "bucket")
         .agg(F.sum("n").alias("bucket_n"))
         .withColumn("before", F.sum("bucket_n").over(
-            per_column.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)))
-        .withColumn("total", F.sum("bucket_n").over(per_column))
-        .select("column_name", "bucket", F.coalesce("before", F.lit(0)).alias("before"), "total")
+            per_key.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)))
+        .withColumn("total", F.sum("bucket_n").over(per_key))
+        .select(*by, "bucket", F.coalesce("before", F.lit(0)).alias("before"), "total")
     )
-    inside = Window.partitionBy("column_name", "bucket").orderBy("value")
-    ranked = (
-        bucketed.join(F.broadcast(totals), ["column_name", "bucket"])
+    inside = Window.partitionBy(*by, "bucket").orderBy("value")
+    return (
+        bucketed.join(F.broadcast(totals), [*by, "bucket"])
         .withColumn("upto", F.col("before") + F.sum("n").over(inside))
         .withColumn("from", F.col("upto") - F.col("n"))
     )
 
+
+def exact_quantiles(
+    table: DataFrame, columns: tuple[str, ...], probabilities: dict[str, float]
+) -> DataFrame:
+    """One row per column, one output column per named probability.
+
+    Linear interpolation between the two closest ranks; NULLs are left out.
+    """
+    counts = (
+        table.select(*[F.col(c).cast("double").alias(c) for c in columns])
+        .unpivot([], list(columns), "column_name", "value")
+        .filter(F.col("value").isNotNull())
+        .groupBy("column_name", "value")
+        .agg(row_count().alias("n"))
+    )
+    ranked = running_counts(counts, ("column_name",))
     picks = []
     for name, p in probabilities.items():
         place = F.lit(p) * (F.col("total") - 1)

@@ -1,6 +1,7 @@
-"""Silver rows to the two Gold tables.
+"""Silver rows to the Gold tables.
 
-Each builder stands alone: either table can be rebuilt, or fail, without the other.
+The two builders over Silver stand alone: either table can be rebuilt, or fail, without the other. Correlations follow from the stored
+facility summaries.
 """
 
 from __future__ import annotations
@@ -9,6 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rosterlake.config import (
+    CORRELATED_MEASURES,
+    CORRELATED_QUALITIES,
+    CORRELATION_KEY,
     DAILY_METRIC_COLUMNS,
     DAY_KEY,
     DEFAULTS,
@@ -20,6 +24,7 @@ from rosterlake.config import (
 from rosterlake.functions.calendar import is_weekend
 from rosterlake.functions.numeric import exact_mean, exact_sum
 from rosterlake.functions.staffing import daily_ratio_columns, meets_minimums
+from rosterlake.operators.ranks import rank_correlations
 from rosterlake.sinks.tables import insert_only, upsert
 from rosterlake.sources.tables import read_quarter
 
@@ -90,6 +95,11 @@ def facility_summary(silver: DataFrame, settings: Settings = DEFAULTS) -> DataFr
     )
 
 
+def quality_correlations(facilities: DataFrame) -> DataFrame:
+    """Gold correlation table: for each quarter, how the ranks of facilities by a staffing measure go with those by a quality."""
+    return rank_correlations(facilities, ("quarter",), CORRELATED_MEASURES, CORRELATED_QUALITIES)
+
+
 def run_facility_summary(
     spark: SparkSession, paths: TablePaths, quarter: str, settings: Settings = DEFAULTS
 ) -> None:
@@ -110,9 +120,16 @@ def run_staffing_metrics(
     )
 
 
+def run_quality_correlations(spark: SparkSession, paths: TablePaths, quarter: str) -> None:
+    """Recompute one quarter's correlations from its stored facility summaries."""
+    facilities = read_quarter(spark, paths.facility_summary, quarter)
+    upsert(spark, quality_correlations(facilities), paths.quality_correlations, CORRELATION_KEY, "quarter")
+
+
 def run_gold(
     spark: SparkSession, paths: TablePaths, quarter: str, settings: Settings = DEFAULTS
 ) -> None:
-    """Both tables in one call."""
+    """All tables in one call."""
     run_facility_summary(spark, paths, quarter, settings)
     run_staffing_metrics(spark, paths, quarter, settings)
+    run_quality_correlations(spark, paths, quarter)

@@ -43,7 +43,8 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     return f"{base.rstrip('/')}/rosterlake/{purpose}-{uuid.uuid4().hex}"
 
 
-def _file_system(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
+    """The Hadoop file system of a path, and the path as it takes it: whatever store Spark reads and writes."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
 
@@ -55,7 +56,7 @@ def scratch(spark: SparkSession, purpose: str) -> Iterator[str]:
     try:
         yield folder
     finally:
-        files, place = _file_system(spark, folder)
+        files, place = file_system(spark, folder)
         files.delete(place, True)
 
 
@@ -70,6 +71,6 @@ def staged(spark: SparkSession, rows: DataFrame, purpose: str, folder: str | Non
     path = f"{folder}/{purpose}-{uuid.uuid4().hex}" if folder else scratch_dir(spark, purpose)
     rows.write.parquet(path)
     if not folder:
-        files, place = _file_system(spark, path)
+        files, place = file_system(spark, path)
         files.deleteOnExit(place)
     return spark.read.schema(rows.schema).parquet(path)

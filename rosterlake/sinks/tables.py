@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from rosterlake.functions.calendar import quarter_label
 from rosterlake.operators.merge import check_unambiguous, merge_upsert, rows_to_insert
 from rosterlake.session import scratch, staged
+from rosterlake.sinks.replace import finish_replacements, replace_partitions
 from rosterlake.sources.tables import DAY_QUARTER, read_if_exists
 
 
@@ -100,11 +101,12 @@ def upsert(
     ``partition`` must be one of ``keys``: then a matched row never changes partition,
     only the source's partitions are read and rewritten, and none of them can be left
     empty. A source that repeats a key raises, on the first load too. Running it again gives the
-    same table, unless a run stopped while its commit was replacing partition folders: Parquet
-    replaces them one by one, and rows of such a partition that the source lacks are then lost.
+    same table. The merged partitions are written aside and closed by a marker before the first old one goes, so a run
+    that stops anywhere loses no rows: the next one finishes it (``finish_replacements``).
     """
     if partition not in keys:
         raise ValueError(f"partition column {partition!r} must be part of the key {keys}")
+    finish_replacements(spark, path)
     with scratch(spark, "upsert") as folder:
         source = staged(spark, source, "source", folder)
         check_unambiguous(source, keys)
@@ -117,12 +119,8 @@ def upsert(
         affected = F.col(partition).isin(*labels) if labels else F.lit(False)
         if len(labels) < len(touched):
             affected = affected | F.col(partition).isNull()
-        (
-            _by_partition(merge_upsert(target.filter(affected), source, keys), [partition])
-            .write.format(fmt).mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(partition).save(path)
-        )
+        merged = merge_upsert(target.filter(affected), source, keys)
+        replace_partitions(spark, _by_partition(merged, [partition]), path, [partition], fmt=fmt)
 
 
 def export_csv(rows: DataFrame, path: str, encoding: str = "UTF-8") -> None:

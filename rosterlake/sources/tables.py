@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rosterlake.config import TablePaths
+from rosterlake.session import file_system
 
 
 #: Partition column that the insert-only writer derives from a table's date: text, part of no key, and
@@ -24,6 +25,9 @@ def read_if_exists(
     spark: SparkSession, path: str, fmt: str = "parquet", derived: bool = False
 ) -> DataFrame | None:
     """The table, or None when nothing has been written there yet."""
+    files, place = file_system(spark, path)
+    if not files.exists(place):
+        return None
     try:
         return read_table(spark, path, fmt, derived)
     except AnalysisException as error:
