@@ -25,7 +25,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rosterlake.llm.common import join_counted, table
-from rosterlake.session import scratch_dir, staged
+from rosterlake.session import scratch, staged
+from rosterlake.sources.stores import open_store
 
 DATA, INDEX = "archive/data.warc.gz", "indexes/index.cdx"
 _DATE = "1970-01-01T00:00:00Z"  # pages carry no date
@@ -71,17 +72,11 @@ def parse_record(data: bytes) -> tuple[dict[str, str], bytes, bytes]:
     return headers, http, payload
 
 
-def _open(uri: str):
-    from pyarrow import fs
-
-    return fs.FileSystem.from_uri(uri)
-
-
 class PackageWriter:
     """One package; bytes go out as they come, so only the index is held."""
 
     def __init__(self, uri: str):
-        files, path = _open(uri)
+        files, path = open_store(uri)
         files.create_dir(path.rpartition("/")[0], recursive=True)
         self.uri, self.lines, self.at = uri, [], 0
         self.sink = files.open_output_stream(path)
@@ -170,10 +165,10 @@ class PackageReader:
         whole = self.members[name].size
         return self._read(self.start(name) + offset, whole - offset if length is None else length)
 
-    def records(self) -> Iterator[tuple[dict[str, str], bytes, bytes]]:
-        """All records by way of the index, each read by its range."""
+    def records(self, first: int = 0, last: int | None = None) -> Iterator[tuple[dict[str, str], bytes, bytes]]:
+        """Records by way of the index, from one number up to another, each read by its range."""
         base = self.start(DATA)
-        for line in self.read(INDEX).decode().split("\n"):
+        for line in self.read(INDEX).decode().split("\n")[first:last]:
             if line:
                 entry = json.loads(line)
                 yield parse_record(zlib.decompress(self._read(base + entry["offset"], entry["length"]), 31))
@@ -220,18 +215,23 @@ def write_packages(spark: SparkSession, pages: DataFrame, folder: str, least_byt
     return staged(spark, deduplicated(spark, pages, least_bytes).mapInArrow(write, "path string, records long"), "packages")
 
 
-def read_packages(packages: DataFrame) -> DataFrame:
-    """Every record of the packages (column path): page_id, url, record_type, payload_digest, payload_bytes,
-    refers_to, and the payload (null for a revisit). A response whose payload lacks its digest or length raises an error."""
+def read_packages(packages: DataFrame, range_records: int = 1000, most_tasks: int = 10_000) -> DataFrame:
+    """Every record of the packages (columns path and records): page_id, url, record_type, payload_digest, payload_bytes,
+    refers_to, and the payload (null for a revisit). A response whose payload lacks its digest or length raises an error.
+
+    Packages are read in ranges of at most ``range_records`` records, dealt to as many tasks as there are ranges, ``most_tasks`` at most: a
+    large package, or few of them, keep all tasks busy. Each range reads the directory and the index, and of the archive only its own records.
+    """
+    n = packages.agg(F.sum(F.ceil(F.col("records") / range_records))).first()[0] or 1
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for path in batch.column("path").to_pylist():
-                files, place = _open(path)
+            for path, begin in zip(batch.column("path").to_pylist(), batch.column("first").to_pylist()):
+                files, place = open_store(path)
                 with files.open_input_file(place) as file:
                     rows: list[tuple] = []
                     held = 0
-                    for headers, http, payload in PackageReader(file, file.size()).records():
+                    for headers, http, payload in PackageReader(file, file.size()).records(begin, begin + range_records):
                         revisit = headers["warc-type"] == "revisit"
                         length = int(http.rpartition(b"Content-Length: ")[2])
                         hashed = headers["warc-payload-digest"].removeprefix("sha1:")
@@ -249,7 +249,10 @@ def read_packages(packages: DataFrame) -> DataFrame:
                     if rows:
                         yield _rows(rows)
 
-    return packages.select("path").repartition("path").mapInArrow(read, _RECORD)
+    ranges = packages.filter("records > 0").select(
+        "path", F.explode(F.sequence(F.lit(0).cast("long"), F.col("records") - 1, F.lit(range_records).cast("long"))).alias("first")
+    )
+    return ranges.repartition(int(min(n, most_tasks))).mapInArrow(read, _RECORD)
 
 
 _RECORD = "page_id long, url string, record_type string, payload_digest string, payload_bytes long, refers_to long, payload binary"
@@ -262,10 +265,11 @@ def _rows(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def op5_warc_packages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All pages to packages and back."""
-    folder = scratch_dir(spark, "archives")
-    packages = write_packages(spark, table(spark, sf_dir, "pages"), folder)
-    return read_packages(packages).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    """All pages to packages and back. The packages go as soon as they were read."""
+    with scratch(spark, "archives") as folder:
+        packages = write_packages(spark, table(spark, sf_dir, "pages"), folder)
+        found = read_packages(packages).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+        return staged(spark, found, "records")
 
 
 OP5_SQL = """

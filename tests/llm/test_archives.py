@@ -1,10 +1,14 @@
 import io
 import zipfile
 
+from pathlib import Path
+
 import pytest
+from pyspark.sql import functions as F
 
 from rosterlake.llm import archives
 from rosterlake.session import scratch_dir
+from rosterlake.sources.stores import open_store
 
 SCHEMA = "page_id long, url string, html string"
 
@@ -48,6 +52,41 @@ def test_packages_roll_over(spark):
     assert packages.count() > 5 and back.count() == 60
 
 
+def test_few_packages_are_read_by_many_tasks(spark):
+    """One package of 60 records in ranges of five: twelve tasks, none of which reads another's records."""
+    packages, _ = rewrite(spark, [(i, "u", f"page {i}") for i in range(60)])
+    assert packages.count() < 8
+    back = archives.read_packages(packages, range_records=5)
+    n = packages.agg(F.sum(F.ceil(F.col("records") / 5))).first()[0]
+    assert back.rdd.getNumPartitions() == n >= 12
+    by_task = back.withColumn("task", F.spark_partition_id()).groupBy("task").count().collect()
+    assert len(by_task) > 6 and max(r["count"] for r in by_task) <= 15 and sum(r["count"] for r in by_task) == 60
+    assert sorted(r.page_id for r in back.collect()) == list(range(60))
+
+
+def test_awkward_pages(spark):
+    """Nulls everywhere, empty and very long pages, repeated rows, and extra columns under names that records use."""
+    rows = [(None, None, None), (1, None, ""), (1, "u", "x" * 3_000_000), (1, "u", "x" * 3_000_000), (2, "v", "é" * 10)]
+    pages = spark.createDataFrame(rows, SCHEMA)
+    extra = pages.select("*", *(F.lit("theirs").alias(c) for c in ("key", "first", "n", "revisit", "path", "records", "payload", "_salt")))
+    wanted = sorted(map(str, rewrite(spark, rows)[1].collect()))
+    packages = archives.write_packages(spark, extra, scratch_dir(spark, "archives"))
+    assert sorted(map(str, archives.read_packages(packages).collect())) == wanted and len(wanted) == len(rows)
+
+
+def test_query_leaves_no_archives(spark):
+    base = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:")) / "rosterlake"
+    before = set(base.glob("archives-*"))
+    assert archives.op5_warc_packages(spark, "/root/testdata/sf0.001").count() == 50
+    assert set(base.glob("archives-*")) == before
+
+
+def test_stores_by_the_names_spark_uses():
+    assert open_store("file:/tmp/a%20b")[1] == open_store("/tmp/a b")[1] == open_store("file:///tmp/a%20b")[1] == "/tmp/a b"
+    files, path = open_store("s3a://bucket/some/key")
+    assert (files.type_name, path) == ("s3", "bucket/some/key")
+
+
 def test_empty_table(spark):
     packages, back = rewrite(spark, [])
     assert packages.count() == 0 and back.count() == 0
