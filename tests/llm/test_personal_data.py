@@ -59,7 +59,7 @@ def test_checksums_and_context(spark):
     rows = ["IBAN DE89 3704 0044 0532 0130 00.", "DE88370400440532013000", "GB82WEST12345698765432", "ssn 123-45-6789", "see 123-45-6789", "mail me: a@b.org"]
     docs = spark.createDataFrame([(i, t) for i, t in enumerate(rows)], "doc_id long, text string")
     found = {r.doc_id: r for r in pd.find(docs).collect()}
-    assert [(s.s, s.e, round(s.score, 1)) for s in found[0].iban] == [(5, 32, 1.1)]
+    assert [(s.s, s.e, round(s.score, 1)) for s in found[0].iban] == [(5, 32, 1.0)]
     assert not found[1].iban and len(found[2].iban) == 1
     assert len(found[3].ssn) == 1 and not found[4].ssn
     assert round(found[5].email[0].score, 1) == 1.0
