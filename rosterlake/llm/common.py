@@ -9,8 +9,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterlake.operators.joins import fits_broadcast
+from rosterlake.config import Settings
+from rosterlake.operators.joins import fits_broadcast, lookup_size
 
+#: What one lookup that goes to all tasks may have.
+LIMITS = Settings(broadcast_max_rows=100_000, broadcast_max_bytes=16 << 20)
 #: Rows of one key that may stay together: this share of all rows, or this many.
 HOT_SHARE, HOT_ROWS = 1 / 1000, 16
 
@@ -52,17 +55,32 @@ def release() -> None:
         trim(0)
 
 
+class Budget:
+    """Bytes that the lookups of one run may take together when they go to all tasks. A run may hold them all until it ends."""
+
+    def __init__(self, size: int = 256 << 20):
+        self.left = size
+
+    def takes(self, lookup: DataFrame) -> bool:
+        """Whether ``lookup``, measured, is small and still fits; if so its size is taken off."""
+        rows, size = lookup_size(lookup)
+        if rows > LIMITS.broadcast_max_rows or size > min(LIMITS.broadcast_max_bytes, self.left):
+            return False
+        self.left -= size
+        return True
+
+
 def join_counted(
-    facts: DataFrame, counted: DataFrame, key: str, spread: Column, total: int, n: str = "n"
+    facts: DataFrame, counted: DataFrame, key: str, spread: Column, total: int, n: str = "n", budget: Budget | None = None
 ) -> DataFrame:
     """Left join of ``facts`` to ``counted``: one row for each key, with the number of facts
     that have it in column ``n``.
 
-    A small ``counted`` (rows and bytes are measured) is broadcast. Else a key with more than
+    A small ``counted`` (rows and bytes are measured) is broadcast, within the ``budget`` of a run that joins often. Else a key with more than
     ``HOT_SHARE`` of the ``total`` facts is split: there are at most ``1 / HOT_SHARE`` of those,
     they go to all tasks, and each fact of such a key picks one of the key's salts by ``spread``.
     """
-    if fits_broadcast(counted):
+    if budget.takes(counted) if budget else fits_broadcast(counted):
         return facts.join(F.broadcast(counted), key, "left")
     limit = max(HOT_ROWS, int(total * HOT_SHARE))
     hot = counted.filter(F.col(n) > limit).select(

@@ -7,11 +7,14 @@
    the pivot, and members are verified against it by the exact overlap of the shingle multisets.
 3. Links make classes (connected components). Members outside their pivots' classes elect a new pivot among
    themselves, until a round adds no link.
-4. Buckets that still hold several classes are compared pair by pair, all their members: coarse counts of shingles
-   give an upper bound of a pair's similarity, and pairs of two classes that it lets through are verified.
+4. In buckets that still hold several classes, members of different ones are compared. One minus the similarity is a distance that obeys
+   the triangle inequality, so two members whose distances to the bucket's first pivot differ by more than the
+   threshold allows are unlike. Of the rest, coarse counts of shingles give an upper bound of a pair's similarity,
+   and pairs that it lets through are verified. A class of many members is passed once for every few hundred strays beside it.
 
 So two texts that share a bucket are in one class, or known to be unlike. Most pairs of a large class are never
-looked at; hot buckets, texts and classes are split by salt, hot buckets of step 4 into blocks of two parts.
+looked at; hot buckets, texts and classes are split by salt, those of step 4 into blocks. What is broadcast is measured, and
+stays within one budget for the whole run.
 """
 
 from __future__ import annotations
@@ -25,8 +28,9 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterlake.llm.common import join_counted, release, table, text_blocks
+from rosterlake.llm.common import LIMITS, Budget, join_counted, release, table, text_blocks
 from rosterlake.llm.words import Memo
+from rosterlake.operators.joins import fits_broadcast
 from rosterlake.session import staged
 
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
@@ -34,6 +38,7 @@ _STEP = np.uint64(0x9E3779B97F4A7C15)
 _CHILDREN = np.array([0x8CB92BA72F3D8DD7, 0xE7037ED1A0B428DB], np.uint64)  # for the seeds of an interval's halves
 _BLOCK = 1 << 18
 _PART = 512  # members of a bucket that are compared as one part
+_CHUNK = 4096  # members of a large class that one such part is compared with at once
 _CELLS = 64, 4096  # fewest and most cells of coarse counts
 
 
@@ -215,11 +220,11 @@ def _bag(text: str, words: int) -> tuple[np.ndarray, np.ndarray]:
     return element[order], count[order]
 
 
-def verify(spark: SparkSession, pairs: DataFrame, texts: DataFrame, params: NearParams, n_pairs: int) -> DataFrame:
+def verify(spark: SparkSession, pairs: DataFrame, texts: DataFrame, params: NearParams, n_pairs: int, budget: Budget) -> DataFrame:
     """Exact similarity of each pair (node, pivot). A pivot's members are read in chunks, each beside
     one copy of the pivot's text; rows stream through, so a task holds one pivot and one batch."""
     sizes = staged(spark, pairs.groupBy("pivot").agg(F.count(F.lit(1)).alias("n")), "pivots")
-    chunked = join_counted(pairs, sizes, "pivot", F.xxhash64("node"), n_pairs).select(
+    chunked = join_counted(pairs, sizes, "pivot", F.xxhash64("node"), n_pairs, budget=budget).select(
         "node", "pivot", F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / 64)).alias("chunk")
     )
     members = chunked.join(texts, "node").select("pivot", "chunk", F.lit(1).alias("member"), "node", "text")
@@ -255,51 +260,115 @@ def coarse(text: str, words: int) -> tuple[int, bytes]:
     return total, np.minimum(held, 255).astype(np.uint8).tobytes()
 
 
-def possible_pairs(total: np.ndarray, cells: list[bytes], label: np.ndarray, part: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of different labels whose similarity may reach the threshold; of different parts, where there are two.
-    What two texts share in a cell is at most the lesser count; what is above 255 is taken as shared as far as both have it."""
+def _folded(cells: np.ndarray, few: int) -> np.ndarray:
+    """Rows of counts in fewer cells."""
+    return cells.reshape(len(cells), -1, few).sum(axis=1, dtype=np.uint16)
+
+
+def possible_pairs(
+    total: np.ndarray, cells: list[bytes], label: np.ndarray, part: np.ndarray, near: np.ndarray, threshold: float
+) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of different labels whose similarity may reach the threshold; of different parts, where there are two. ``near`` is each
+    one's similarity to a text that all were compared with.
+
+    What two texts share in a cell is at most the lesser count; what is above 255 is taken as shared as far as both have it.
+    """
     first, second = [], []
-    by_size: dict[int, list[int]] = {}
-    for at, held in enumerate(cells):
-        by_size.setdefault(len(held), []).append(at)
+    by_size: dict[int, np.ndarray] = {}
+    for few in {len(c) for c in cells}:
+        by_size[few] = np.array([i for i, c in enumerate(cells) if len(c) == few])
+    held = {few: np.frombuffer(b"".join(cells[i] for i in at), np.uint8).reshape(len(at), few).astype(np.uint16) for few, at in by_size.items()}
     two = part.min() != part.max()
     for few, a in by_size.items():
-        a = np.array(a)
-        left = np.frombuffer(b"".join(cells[i] for i in a), np.uint8).reshape(len(a), few).astype(np.uint16)
-        for many in (few, 2 * few):  # totals of a pair differ by a quarter at most, cells by a factor of two
-            if many not in by_size:
+        asking = np.flatnonzero(part[a] == part.min()) if two else np.arange(len(a))
+        # totals of a pair differ by a quarter at most, cells by a factor of two
+        for many in (few // 2, few, 2 * few) if two else (few, 2 * few):
+            if many not in by_size or not len(asking):
                 continue
-            b = np.array(by_size[many])
-            right = np.frombuffer(b"".join(cells[i] for i in b), np.uint8).reshape(len(b), many // few, few).sum(axis=1, dtype=np.uint16)
-            over_a, over_b = total[a] - left.sum(axis=1, dtype=np.int64), total[b] - right.sum(axis=1, dtype=np.int64)
-            for i, at in enumerate(a):
+            b, common_cells = by_size[many], min(few, many)
+            left, right = _folded(held[few][asking], common_cells), _folded(held[many], common_cells)
+            over_a, over_b = total[a[asking]] - left.sum(axis=1, dtype=np.int64), total[b] - right.sum(axis=1, dtype=np.int64)
+            for i, at in enumerate(a[asking]):
                 least, most = threshold * total[at] - 1e-6, total[at] / threshold + 1e-6
-                near = (total[b] >= least) & (total[b] <= most) & (label[b] != label[at])
+                may = (total[b] >= least) & (total[b] <= most) & (label[b] != label[at]) & (np.abs(near[b] - near[at]) <= 1 - threshold + 1e-6)
                 if two:
-                    near &= part[b] != part[at]
-                if many == few:
-                    near &= b > at
-                near = np.flatnonzero(near)
-                if len(near):
-                    common = np.minimum(left[i], right[near]).sum(axis=1, dtype=np.int64) + np.minimum(over_a[i], over_b[near])
-                    near = near[common * (1 + threshold) >= threshold * (total[at] + total[b[near]]) - 1e-6]
-                    first.append(np.full(len(near), at))
-                    second.append(b[near])
+                    may &= part[b] != part[at]
+                elif many == few:
+                    may &= b > at
+                may = np.flatnonzero(may)
+                if len(may):
+                    common = np.minimum(left[i], right[may]).sum(axis=1, dtype=np.int64) + np.minimum(over_a[i], over_b[may])
+                    may = may[common * (1 + threshold) >= threshold * (total[at] + total[b[may]]) - 1e-6]
+                    first.append(np.full(len(may), at))
+                    second.append(b[may])
     none = np.zeros(0, np.int64)
     return np.concatenate([none, *first]), np.concatenate([none, *second])
 
 
-def left_over(spark: SparkSession, member: DataFrame, labels: DataFrame | None, texts: DataFrame, params: NearParams, n_members: int) -> DataFrame:
-    """(node, pivot): all pairs of a bucket that are in different classes and may be alike."""
+def meetings(spark: SparkSession, rows: DataFrame, threshold: float) -> DataFrame:
+    """Who may have to be compared with whom: ``rows`` (bucket, node, label, near) dealt to blocks (bucket, class, i, j), a row for each block
+    that a member is in, with its ``part``.
+
+    A class with more than ``_PART`` members of a bucket is set against all other members, ``_PART`` of these at a time, itself in
+    chunks of ``_CHUNK``; of two such classes the smaller counts as others. Only members within reach by ``near`` are dealt. Members of small
+    classes are set against each other in parts of ``_PART``.
+    """
+    reach = 1 - threshold + 1e-6
+    sizes = rows.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("own"))
+    rows = staged(spark, rows.join(sizes, ["bucket", "label"]), "labelled-members")
+    great, own = F.col("own") > _PART, F.col("own")
+    crowds = rows.filter(great).groupBy("bucket", F.col("label").alias("crowd")).agg(
+        F.count(F.lit(1)).alias("size"), F.min("near").alias("lo"), F.max("near").alias("hi")
+    )
+    crowds = staged(spark, crowds, "crowds")
+    others = rows.join(F.broadcast(crowds) if fits_broadcast(crowds, LIMITS) else crowds, "bucket").filter(
+        (F.col("label") != F.col("crowd"))
+        & (~great | (F.struct(own, "label") < F.struct(F.col("size").alias("own"), F.col("crowd").alias("label"))))
+        & F.col("near").between(F.col("lo") - reach, F.col("hi") + reach)
+    )
+    others = staged(spark, others.select("bucket", "node", "label", "near", "crowd", "size"), "strays")
+    asked = others.groupBy("bucket", "crowd").agg(F.count(F.lit(1)).alias("n"), F.min("near").alias("lo"), F.max("near").alias("hi"))
+    asked = staged(spark, asked, "asked")
+    asked = F.broadcast(asked) if fits_broadcast(asked, LIMITS) else asked
+    spread = F.xxhash64("node")
+    parts, chunks = F.ceil(F.col("n") / _PART).cast("int"), F.ceil(F.col("size") / _CHUNK).cast("int")
+    every = [F.col("bucket"), F.col("crowd"), F.col("i"), F.col("j"), F.col("part"), F.col("node"), F.col("label"), F.col("near")]
+    strays = others.join(asked.select("bucket", "crowd", "n"), ["bucket", "crowd"]).select(
+        "*", F.pmod(spread, parts).cast("int").alias("i"), F.explode(F.sequence(F.lit(0), chunks - 1)).alias("j"), F.lit(0).alias("part")
+    ).select(*every)
+    members = rows.withColumnRenamed("label", "crowd").join(asked, ["bucket", "crowd"]).filter(
+        F.col("near").between(F.col("lo") - reach, F.col("hi") + reach)
+    ).withColumn("size", own).withColumn("label", F.col("crowd")).select(
+        "*", F.pmod(spread, chunks).cast("int").alias("j"), F.explode(F.sequence(F.lit(0), parts - 1)).alias("i"), F.lit(1).alias("part")
+    ).select(*every)
+    few = rows.filter(~great)
+    left = few.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("label").alias("a"), F.max("label").alias("b")).filter("a <> b").select("bucket", "n")
+    few = few.join(F.broadcast(left) if fits_broadcast(left, LIMITS) else left, "bucket")
+    few = few.withColumn("part", F.pmod(spread, parts).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1))).select(
+        "bucket", F.lit(None).cast("binary").alias("crowd"), F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "node", "label", "near"
+    )
+    return strays.unionByName(members).unionByName(few)
+
+
+def left_over(
+    spark: SparkSession, member: DataFrame, labels: DataFrame | None, home: DataFrame, found: DataFrame, texts: DataFrame, params: NearParams,
+    n_members: int, budget: Budget,
+) -> DataFrame:
+    """(node, pivot): all pairs of a bucket that are in different classes and may be alike. ``home`` names each bucket's first
+    pivot, ``found`` has the similarity of every member to it."""
     if labels is None:
         placed = member.select("bucket", "node", F.col("node").alias("label"))
     else:
         placed = member.select("bucket", "node").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     placed = staged(spark, placed, "placed-members")
     mixed = placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("label").alias("lo"), F.max("label").alias("hi"))
-    mixed = staged(spark, mixed.filter("lo <> hi").select("bucket", "n"), "mixed")
-    rows = join_counted(placed, mixed, "bucket", F.xxhash64("node"), n_members).filter("n is not null")
-    rows = staged(spark, rows.select("bucket", "node", "label", "n"), "mixed-members")
+    mixed = staged(spark, mixed.filter("lo <> hi").join(home, "bucket").select("bucket", "n", "pivot"), "mixed")
+    rows = join_counted(placed, mixed, "bucket", F.xxhash64("node"), n_members, budget=budget).filter("n is not null")
+    known = found.select("node", "pivot", F.col("similarity").alias("near")).dropDuplicates(["node", "pivot"])
+    rows = rows.join(known, ["node", "pivot"], "left").select(
+        "bucket", "node", "label", F.when(F.col("node") == F.col("pivot"), 1.0).otherwise(F.col("near")).alias("near")
+    )
+    dealt = staged(spark, meetings(spark, staged(spark, rows, "mixed-members"), params.threshold), "meetings")
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -308,30 +377,30 @@ def left_over(spark: SparkSession, member: DataFrame, labels: DataFrame | None,
         _memo().forget()
         release()
 
-    counts = texts.join(rows.select("node").distinct(), "node", "left_semi").mapInPandas(count, "node binary, total long, cells binary")
-    ways = F.ceil(F.col("n") / _PART).cast("int")
-    blocks = rows.join(staged(spark, counts, "coarse"), "node").withColumn("part", F.pmod(F.xxhash64("node"), ways).cast("int"))
-    blocks = blocks.withColumn("other", F.explode(F.sequence(F.lit(0), ways - 1))).select(
-        "bucket", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "node", "label", "total", "cells"
-    ).repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+    counts = texts.join(dealt.select("node").distinct(), "node", "left_semi").mapInPandas(count, "node binary, total long, cells binary")
+    key = ["bucket", "crowd", "i", "j"]
+    blocks = dealt.join(staged(spark, counts, "coarse"), "node").select(*key, "part", "node", "label", "near", "total", "cells")
+    blocks = blocks.repartition(*key).sortWithinPartitions(*key)
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         def pairs(block: list[tuple]) -> list[tuple[bytes, bytes]]:
-            part, node, label, total, cells = zip(*block)
+            part, node, label, near, total, cells = zip(*block)
             code = {x: k for k, x in enumerate(set(label))}
-            if len(code) < 2 or key[1] != key[2] and len(set(part)) < 2:
+            if len(code) < 2 or (at[1] is not None or at[2] != at[3]) and len(set(part)) < 2:
                 return []
-            one, two = possible_pairs(np.array(total), list(cells), np.array([code[x] for x in label]), np.array(part), params.threshold)
+            one, two = possible_pairs(
+                np.array(total), list(cells), np.array([code[x] for x in label]), np.array(part), np.array(near), params.threshold
+            )
             return [(min(node[a], node[b]), max(node[a], node[b])) for a, b in zip(one, two)]
 
-        key, block = None, []
+        at, block = None, []
         for batch in batches:
             out: set[tuple[bytes, bytes]] = set()
-            for bucket, i, j, *row in batch.itertuples(index=False, name=None):
-                if (bucket, i, j) != key:
+            for bucket, crowd, i, j, *row in batch.itertuples(index=False, name=None):
+                if (bucket, crowd, i, j) != at:
                     if len(block) > 1:
                         out.update(pairs(block))
-                    key, block = (bucket, i, j), []
+                    at, block = (bucket, crowd, i, j), []
                 block.append(tuple(row))
             yield pd.DataFrame(list(out), columns=["node", "pivot"])
         if len(block) > 1:
@@ -341,7 +410,7 @@ def left_over(spark: SparkSession, member: DataFrame, labels: DataFrame | None,
     return blocks.mapInPandas(compare, "node binary, pivot binary").distinct()
 
 
-def components(spark: SparkSession, links: DataFrame) -> DataFrame:
+def components(spark: SparkSession, links: DataFrame, budget: Budget) -> DataFrame:
     """(node, label): the least node of each node's connected component. Labels travel along links and then
     to the label's own label, until nothing changes; each step is written to shared storage."""
     both = staged(spark, links.select("node", "pivot").union(links.select("pivot", "node")).toDF("a", "b"), "links")
@@ -354,7 +423,7 @@ def components(spark: SparkSession, links: DataFrame) -> DataFrame:
     )
     while True:
         at = sizes.join(labels.withColumnRenamed("node", "a"), "a")
-        heard = join_counted(both, at, "a", F.xxhash64("b"), total).groupBy("b").agg(F.min("label").alias("heard"))
+        heard = join_counted(both, at, "a", F.xxhash64("b"), total, budget=budget).groupBy("b").agg(F.min("label").alias("heard"))
         heard = labels.join(heard.withColumnRenamed("b", "node"), "node", "left").select(
             "node", F.col("label").alias("old"), F.least("label", "heard").alias("label")
         )
@@ -362,7 +431,7 @@ def components(spark: SparkSession, links: DataFrame) -> DataFrame:
         followed = heard.groupBy("label").agg(F.count(F.lit(1)).alias("n")).join(
             heard.select(F.col("node").alias("label"), F.col("label").alias("next")), "label"
         )
-        jumped = join_counted(heard, staged(spark, followed, "labels"), "label", F.xxhash64("node"), total).select(
+        jumped = join_counted(heard, staged(spark, followed, "labels"), "label", F.xxhash64("node"), total, budget=budget).select(
             "node", "old", F.least("label", F.coalesce("next", "label")).alias("label")
         )
         jumped = staged(spark, jumped, "labels")
@@ -376,17 +445,17 @@ def classes(spark: SparkSession, docs: DataFrame, params: NearParams = NearParam
     a pivot, to members, and to texts whose class was another one until then. Equal texts are always one class. A null text counts as empty; a text without
     words is like its equals only. Every input row gives one row, repeated rows too; an empty table gives none.
     """
+    budget = Budget()
     signed = staged(spark, signatures(docs, params), "signatures")
     total = signed.count()
     rows = signed.select(F.explode("buckets").alias("bucket"), "node")
     sizes = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("a"), F.max("node").alias("b"))
     shared = staged(spark, sizes.filter("a <> b").select("bucket", "n"), "buckets")
-    member = join_counted(rows, shared, "bucket", F.xxhash64("node"), total * params.bands).filter("n is not null")
+    member = join_counted(rows, shared, "bucket", F.xxhash64("node"), total * params.bands, budget=budget).filter("n is not null")
     member = staged(spark, member.distinct(), "members")
     n_members = member.count()
     nodes = signed.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies"))
-    found = None
-    labels = None
+    found = home = labels = None
     if n_members:
         firsts = nodes.join(member.select("node").distinct(), "node", "left_semi")
         # texts are fetched by id: one row of each text that shares a bucket
@@ -403,9 +472,10 @@ def classes(spark: SparkSession, docs: DataFrame, params: NearParams = NearParam
                 F.max(F.struct("central", "node", "label")).alias("p"), F.count(F.lit(1)).alias("n"), F.min("label").alias("lo"), F.max("label").alias("hi")
             ).filter("lo <> hi").select("bucket", "n", F.col("p.node").alias("pivot"), F.col("p.label").alias("pivot_label"))
             pivots = staged(spark, pivots, "pivots")
+            home = pivots.select("bucket", "pivot") if home is None else home
             beside = staged(
                 spark,
-                join_counted(rest.drop("n"), pivots, "bucket", F.xxhash64("node"), n_members).filter("pivot is not null and label <> pivot_label"),
+                join_counted(rest.drop("n"), pivots, "bucket", F.xxhash64("node"), n_members, budget=budget).filter("pivot is not null and label <> pivot_label"),
                 "beside",
             )
             pairs = beside.select("node", "pivot").distinct()
@@ -413,32 +483,32 @@ def classes(spark: SparkSession, docs: DataFrame, params: NearParams = NearParam
                 pairs = pairs.join(found, ["node", "pivot"], "left_anti")
             pairs = staged(spark, pairs, "pairs")
             n_pairs = pairs.count()
-            fresh = staged(spark, verify(spark, pairs, texts, params, n_pairs), "similar") if n_pairs else None
+            fresh = staged(spark, verify(spark, pairs, texts, params, n_pairs, budget), "similar") if n_pairs else None
             if fresh is not None:
                 found = fresh if found is None else found.unionByName(fresh)
             linked = fresh is not None and fresh.filter(F.col("similarity") >= params.threshold).limit(1).count()
             if not linked:
                 break
-            labels = components(spark, found.filter(F.col("similarity") >= params.threshold))
+            labels = components(spark, found.filter(F.col("similarity") >= params.threshold), budget)
             # who is not yet in the class of a pivot of its bucket stays and elects another
             label_of = beside.select("node", "bucket", "central", "pivot").join(
                 labels.withColumnRenamed("label", "now"), "node", "left"
             ).withColumn("label", F.coalesce("now", "node")).drop("now")
             theirs = labels.select(F.col("node").alias("pivot"), F.col("label").alias("theirs"))
             by_pivot = label_of.groupBy("pivot").agg(F.count(F.lit(1)).alias("n")).join(theirs, "pivot", "left")
-            rest = join_counted(label_of, staged(spark, by_pivot, "pivots"), "pivot", F.xxhash64("node", "bucket"), n_members)
+            rest = join_counted(label_of, staged(spark, by_pivot, "pivots"), "pivot", F.xxhash64("node", "bucket"), n_members, budget=budget)
             rest = staged(
                 spark, rest.filter(F.col("label") != F.coalesce("theirs", "pivot")).select("bucket", "node", "n", "central", "label"), "rest"
             )
-        pairs = left_over(spark, member, labels, texts, params, n_members)
+        pairs = left_over(spark, member, labels, home, found, texts, params, n_members, budget)
         seen = found.select("node", "pivot").union(found.select("pivot", "node"))
         pairs = staged(spark, pairs.join(seen.toDF("node", "pivot"), ["node", "pivot"], "left_anti"), "pairs")
         n_pairs = pairs.count()
         if n_pairs:
-            fresh = staged(spark, verify(spark, pairs, texts, params, n_pairs), "similar")
+            fresh = staged(spark, verify(spark, pairs, texts, params, n_pairs, budget), "similar")
             found = found.unionByName(fresh)
             if fresh.filter(F.col("similarity") >= params.threshold).limit(1).count():
-                labels = components(spark, found.filter(F.col("similarity") >= params.threshold))
+                labels = components(spark, found.filter(F.col("similarity") >= params.threshold), budget)
     known = nodes
     if labels is None:
         known = known.select("node", F.col("doc_id").alias("class_id"), F.col("copies").alias("n"), F.lit(0).cast("long").alias("links"))
@@ -453,10 +523,10 @@ def classes(spark: SparkSession, docs: DataFrame, params: NearParams = NearParam
             "placed",
         )
         least = placed.groupBy("label").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("n"))
-        known = join_counted(placed, staged(spark, least, "classes"), "label", F.xxhash64("node"), total).select(
+        known = join_counted(placed, staged(spark, least, "classes"), "label", F.xxhash64("node"), total, budget=budget).select(
             "node", "class_id", F.col("copies").alias("n"), "links"
         )
-    out = join_counted(signed.select("doc_id", "node"), staged(spark, known, "known"), "node", F.xxhash64("doc_id"), total)
+    out = join_counted(signed.select("doc_id", "node"), staged(spark, known, "known"), "node", F.xxhash64("doc_id"), total, budget=budget)
     return out.select("doc_id", "class_id", "links")
 
 

@@ -2,7 +2,9 @@ import random
 from collections import Counter, defaultdict
 
 import numpy as np
+from pyspark.sql import functions as F
 
+from rosterlake.llm import common
 from rosterlake.llm import near_duplicates as nd
 
 
@@ -102,7 +104,8 @@ def test_chains_and_a_large_group(spark):
 
 def test_joins_without_broadcasts(spark, documents, monkeypatch):
     usual = sorted(tuple(r) for r in nd.classes(spark, documents).collect())
-    monkeypatch.setattr("rosterlake.llm.common.fits_broadcast", lambda *_: False)
+    monkeypatch.setattr(common.Budget, "takes", lambda *_: False)
+    monkeypatch.setattr(nd, "fits_broadcast", lambda *_: False)
     assert sorted(tuple(r) for r in nd.classes(spark, documents).collect()) == usual
 
 
@@ -147,12 +150,18 @@ def test_bound_lets_all_alike_pairs_through():
         for cut in (1, 0.95, 0.85, 0.81, 0.79, 0.6):
             texts.append(" ".join(base[: max(1, int(n * cut))] + base[n:]))
     total, cells = zip(*(nd.coarse(t, 5) for t in texts))
-    for part in (np.zeros(len(texts), int), np.arange(len(texts)) % 2):
-        one, two = nd.possible_pairs(np.array(total), list(cells), np.arange(len(texts)), part, 0.8)
-        found = {(min(p), max(p)) for p in zip(one.tolist(), two.tolist())}
-        bags = [bag(t) for t in texts]
+    bags = [bag(t) for t in texts]
+    to_one = np.array([similarity(b, bags[20]) for b in bags])
+    for part in (np.zeros(len(texts), int), np.arange(len(texts)) % 2, (np.arange(len(texts)) % 5 > 0).astype(int)):
         asked = {(i, j) for j in range(len(texts)) for i in range(j) if not part.any() or part[i] != part[j]}
-        assert {p for p in asked if similarity(bags[p[0]], bags[p[1]]) >= 0.8} <= found < asked
+        counted = []
+        for near in (np.zeros(len(texts)), to_one):
+            one, two = nd.possible_pairs(np.array(total), list(cells), np.arange(len(texts)), part, near, 0.8)
+            found = {(min(p), max(p)) for p in zip(one.tolist(), two.tolist())}
+            assert len(found) == len(one)
+            assert {p for p in asked if similarity(bags[p[0]], bags[p[1]]) >= 0.8} <= found < asked
+            counted.append(len(found))
+        assert counted[1] <= counted[0]
 
 
 def test_truncation_chains_inside_large_groups(spark):
@@ -166,3 +175,79 @@ def test_truncation_chains_inside_large_groups(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = found_classes(nd.classes(spark, docs).collect())
     assert got == brute_classes(rows) and len(got) == 40
+
+
+def test_members_of_different_classes_meet(spark, monkeypatch):
+    """Whoever may be alike meets in some block, and a block holds no more than a part and a chunk, about."""
+    monkeypatch.setattr(nd, "_PART", 8)
+    monkeypatch.setattr(nd, "_CHUNK", 20)
+    random.seed(7)
+    rows = []
+    for bucket in range(12):
+        labels = [bytes([random.choice([1, 1, 1, 1, 2, 2, 2, 3, 4, 5])]) for _ in range(random.choice([3, 30, 120]))]
+        rows += [(bucket, bytes([7, bucket, i % 256, i // 256]), label, random.random()) for i, label in enumerate(labels)]
+    frame = spark.createDataFrame(rows, "bucket long, node binary, label binary, near double")
+    dealt = nd.meetings(spark, frame, 0.8).collect()
+    blocks = defaultdict(list)
+    for r in dealt:
+        blocks[r.bucket, r.crowd and bytes(r.crowd), r.i, r.j].append((bytes(r.node), bytes(r.label), r.part))
+    met = set()
+    for (bucket, crowd, i, j), block in blocks.items():
+        assert len(block) < 80
+        for a in block:
+            for b in block:
+                if a[1] != b[1] and (a[2] != b[2] or crowd is None and i == j):
+                    met.add((bucket, *sorted((a[0], b[0]))))
+    for bucket, a, la, va in rows:
+        for other, b, lb, vb in rows:
+            if bucket == other and la != lb and abs(va - vb) <= 0.2:
+                assert (bucket, *sorted((a, b))) in met
+
+
+def test_a_stray_costs_one_pass_over_a_class(spark):
+    """A class of 100,000 in one bucket and a stray of another: about a row for each member, and none if it is out of reach."""
+    n = 100_000
+    members = spark.range(n).select(
+        F.lit(1).cast("long").alias("bucket"), F.encode(F.concat(F.lit("m"), F.col("id").cast("string")), "utf-8").alias("node"),
+        F.lit(b"class").alias("label"), (F.lit(0.8) + F.pmod(F.xxhash64("id"), F.lit(1000)) / 5000).alias("near"),
+    )
+
+    def dealt(near):
+        stray = spark.createDataFrame([(1, b"stray", b"stray", near)], members.schema)
+        return nd.meetings(spark, members.unionByName(stray), 0.8).count()
+
+    assert n <= dealt(0.85) <= 1.01 * n
+    assert dealt(0.3) == 0
+    assert dealt(0.65) < 0.3 * n
+
+
+def test_a_run_broadcasts_within_its_budget(spark):
+    rows = spark.range(1000).select(F.col("id").alias("k"), F.col("id").alias("n"))
+    budget = common.Budget(100_000)
+    assert [budget.takes(rows) for _ in range(5)] == [True, True, True, False, False]
+    assert budget.left >= 0 and budget.takes(rows.limit(10))
+
+
+def test_recall_of_planted_copies(spark):
+    """All copies of similarity 0.8 or more are found, whatever was changed: words cut off, replaced, moved, or repeated."""
+    random.seed(12)
+    rows, pairs = [], []
+    for k in range(150):
+        words = [f"w{random.randrange(5000)}" for _ in range(random.choice([30, 120, 500]))]
+        copy, edits = list(words), random.choice([1, 2, 3, 6, 12])
+        for _ in range(edits):
+            kind, at = random.random(), random.randrange(len(copy))
+            if kind < 0.4:
+                copy[at] = f"x{random.random()}"
+            elif kind < 0.6:
+                del copy[at]
+            elif kind < 0.8:
+                copy[at:at] = copy[: random.randrange(8)]
+            else:
+                copy = copy[at:] + copy[:at]
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(copy))]
+        pairs.append((2 * k, 2 * k + 1, similarity(bag(rows[-2][1]), bag(rows[-1][1]))))
+    got = {r.doc_id: r.class_id for r in nd.classes(spark, spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    near = [(a, b) for a, b, s in pairs if s >= 0.8]
+    assert len(near) > 40 and all(got[a] == got[b] for a, b in near)
+    assert all(got[a] != got[b] for a, b, s in pairs if s < 0.8)
