@@ -8,8 +8,11 @@ piece then finds its place from its rank among the pieces of its length. No grou
 from __future__ import annotations
 
 import os
+import random
 import zlib
+from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
@@ -76,95 +79,230 @@ def best_fit(counts: dict[int, int], capacity: int) -> list[tuple[int, Pattern]]
     return [(bins, held) for groups in room.values() for bins, held in groups]
 
 
-def _fillings(counts: dict[int, int], lengths: list[int], room: int, width: int, steps: int) -> list[Pattern]:
-    """Fillings of ``room`` beside a bin's largest piece, fullest first, then fewest pieces. One is left out if it is
-    dominated: a piece left over could replace one of its pieces, be longer, and still fit. If a
+def _two(lengths: np.ndarray, number: np.ndarray, worth: np.ndarray, room: int) -> tuple[float, tuple[int, ...]]:
+    """At most two pieces that fit the room, worth most together; of equals the pair with the longest piece."""
+    n = int(np.searchsorted(lengths, room, "right"))
+    if not n:
+        return 0.0, ()
+    lengths, number, worth = lengths[:n], number[:n], worth[:n]
+    best, held = float(worth[-1]), (int(lengths[-1]),)
+    mine = np.arange(n)
+    other = np.searchsorted(lengths, room - lengths, "right") - 1
+    other = np.where(other >= mine, np.where(number > 1, mine, mine - 1), other)  # no longer than the first
+    both = np.where(other >= 0, worth + worth[other], -1.0)
+    k = n - 1 - int(both[::-1].argmax())
+    if both[k] > best:
+        best, held = float(both[k]), (int(lengths[k]), int(lengths[other[k]]))
+    return best, held
+
+
+def fullest(counts: dict[int, int], capacity: int, power: float) -> list[tuple[int, Pattern]]:
+    """Bin by bin around the largest piece left: the longest pieces that fit in turn, the last two chosen to be worth most. A piece is worth
+    its length to a ``power``: 1 fills each bin as well as it can, more keeps short pieces for bins that hold many."""
+    lengths = np.array(sorted(counts), np.int64)
+    number = np.array([counts[x] for x in lengths.tolist()], np.int64)
+    worth, out = (lengths / capacity) ** power, []
+    while True:
+        some = number > 0
+        lengths, number, worth = lengths[some], number[some], worth[some]
+        if not len(lengths):
+            return out
+        free = number.copy()
+        free[-1] -= 1
+        held, room, got = [int(lengths[-1])], capacity - int(lengths[-1]), 0.0
+        best, most = tuple(held), -1.0
+        while True:
+            there = free > 0
+            value, more = _two(lengths[there], free[there], worth[there], room)
+            if got + value > most + 1e-12:
+                best, most = (*held, *more), got + value
+            fits = np.flatnonzero(there[: np.searchsorted(lengths, room, "right")])
+            if not len(fits):
+                break
+            k = int(fits[-1])
+            free[k] -= 1
+            held.append(int(lengths[k]))
+            room, got = room - int(lengths[k]), got + float(worth[k])
+        need = Counter(best)
+        at = np.searchsorted(lengths, list(need))
+        times = int((number[at] // list(need.values())).min())
+        number[at] -= times * np.array(list(need.values()))
+        out.append((times, tuple(sorted(need.items(), reverse=True))))
+
+
+def _fillings(counts: dict[int, int], lengths: list[int], room: int, width: int | None, steps: int | None) -> tuple[list[Pattern], bool]:
+    """Fillings of ``room`` beside a bin's largest piece, fullest first, then fewest pieces; and whether these are all that
+    matter. One is left out if it is dominated: a piece left over could replace one of its pieces, be longer, and still fit. If a
     single piece fills the room exactly, it dominates all others."""
     if counts.get(room, 0):
-        return [((room, 1),)]
+        return [((room, 1),)], True
     found: list[tuple[int, int, Pattern]] = []
     stack: list[tuple[int, int, Pattern]] = [(0, room, ())]
-    usable = [x for x in lengths if x <= room]
-    full = 0
-    while stack and steps:
-        steps -= 1
+    usable = [x for x in lengths if x <= room and counts[x]]
+    full, done = 0, True
+    while stack:
+        if steps is not None:
+            if not steps:
+                done = False
+                break
+            steps -= 1
         i, left, held = stack.pop()
-        while i < len(usable) and (usable[i] > left or not counts[usable[i]]):
+        while i < len(usable) and usable[i] > left:
             i += 1
-        if i == len(usable) or not left:
+        if i == len(usable):
             found.append((left, sum(k for _, k in held), held))
             full += not left
-            if full >= width:
+            if width is not None and full >= width:
+                done = not stack
                 break
             continue
         x = usable[i]
-        most = min(left // x, counts[x])
-        stack.append((i + 1, left, held))  # without x
-        stack.append((i + 1, left - most * x, held + ((x, most),)))
+        for k in range(min(left // x, counts[x]) + 1):  # the most of x on top of the stack
+            stack.append((i + 1, left - k * x, held + ((x, k),) if k else held))
     found.sort(key=lambda f: (f[0], f[1]))
     out = []
     for left, _, held in found:
-        if left and any(
-            any(counts[z] - dict(held).get(z, 0) > 0 for z in range(y + 1, y + left + 1) if z in counts) for y, _ in held
-        ):
+        mine = dict(held)
+        if left and any(any(counts.get(z, 0) > mine.get(z, 0) for z in range(y + 1, y + left + 1)) for y in mine):
             continue
-        out.append(held)
-        if len(out) == width:
+        if width is not None and len(out) == width:
+            done = False
             break
-    return out or [found[0][2] if found else ()]
+        out.append(held)
+    return out or [found[0][2] if found else ()], done
+
+
+@dataclass(frozen=True)
+class SearchLimits:
+    """What a search may spend: nodes, fillings tried at a node, steps to enumerate them. None of each: as much as it takes, and
+    the result is a best one. ``repairs``: how often some bins are searched anew by themselves where the bound was not met. Shapes are
+    powers for ``fullest``, each giving an incumbent."""
+
+    nodes: int | None = 2000
+    width: int | None = 3
+    steps: int | None = 300
+    repairs: int = 40
+    shapes: tuple[float, ...] = (1.0, 1.03, 1.06, 1.1, 1.15, 1.2, 1.3, 1.5, 1.7, 1.85, 2.0, 2.15, 2.3, 2.6, 3.0)
+
 
+NO_LIMITS = SearchLimits(None, None, None, 0)
+_REPAIR_BINS, _REPAIR = 30, SearchLimits(200, 4, 400, 0, (1.0, 1.05, 1.1, 1.2, 2.0))
 
-def bin_completion(
-    counts: dict[int, int], capacity: int, nodes: int = 3000, width: int = 3, steps: int = 400, waiting: int = 200
-) -> list[tuple[int, Pattern]]:
+
+@dataclass(frozen=True)
+class Packing:
+    """``patterns`` with how often each is used; how many ``bins`` that is, how many any packing has at ``least``, and whether
+    the search went through to its end, so that no packing has fewer."""
+
+    patterns: list[tuple[int, Pattern]]
+    bins: int
+    least: int
+    proven: bool
+
+
+def bin_completion(counts: dict[int, int], capacity: int, limits: SearchLimits = SearchLimits()) -> Packing:
     """Patterns and how often each is used, together holding every piece of ``counts`` once.
 
-    Depth first: the largest piece left gets its undominated fillings in turn, each used as often as
-    pieces allow. A branch ends when its waste exceeds what a better packing than the incumbent can
-    have. Best-fit decreasing is the first incumbent. ``nodes`` bounds the search, ``width`` the
-    fillings tried at a node, ``steps`` their enumeration, and ``waiting`` the latest alternatives that are remembered; a search cut short still ends with a full packing.
+    Best-fit decreasing and the ``fullest`` fillings are the first incumbents. Then depth first: the largest piece left gets its undominated
+    fillings in turn, and a branch ends when its waste exceeds what a better packing than the incumbent can have. What is held
+    is the choices on the way down, not their histograms: going back puts pieces back. With limits, a filling is used as often as pieces allow
+    at once, and the search may be cut; it always ends with a full packing.
     """
     counts = {x: n for x, n in counts.items() if n}
     if not counts:
-        return []
+        return Packing([], 0, 0, True)
     if min(counts) < 1 or max(counts) > capacity:
         raise ValueError("lengths must lie between 1 and the capacity")
+    least, total = lower_bound(counts, capacity), sum(x * n for x, n in counts.items())
     incumbent = best_fit(counts, capacity)
     used = sum(n for n, _ in incumbent)
-    least, total = lower_bound(counts, capacity), sum(x * n for x, n in counts.items())
-    # each entry: counts left, lengths left, bins and waste so far, patterns so far (a linked list)
-    stack = [(counts, sorted(counts, reverse=True), 0, 0, None)]
-    while stack and nodes and used > least:
-        left, lengths, bins, waste, made = stack.pop()
-        nodes -= 1
-        while True:  # down the first filling; the others wait on the stack
-            while lengths and not left[lengths[0]]:
-                lengths = lengths[1:]
-            if not lengths or bins >= used or waste > (used - 1) * capacity - total:
+    for power in limits.shapes:
+        if used > least:
+            other = fullest(counts, capacity, power)
+            if sum(n for n, _ in other) < used:
+                incumbent, used = other, sum(n for n, _ in other)
+    left, lengths = dict(counts), sorted(counts, reverse=True)
+    bins, waste, nodes, complete = 0, 0, limits.nodes, True
+    # each entry: the place of its largest piece, fillings to try, and the choice that stands (times and needs)
+    stack: list[list] = []
+    at, down = 0, True
+    while used > least:
+        if down:
+            while at < len(lengths) and not left[lengths[at]]:
+                at += 1
+            if at == len(lengths):
+                if bins < used:
+                    incumbent, used = [(e[2][0], tuple(sorted(e[2][1].items(), reverse=True))) for e in stack], bins
+            elif bins + 1 < used and waste <= (used - 1) * capacity - total:
+                if nodes is not None:
+                    if not nodes:
+                        complete = False
+                        break
+                    nodes -= 1
+                first = lengths[at]
+                left[first] -= 1
+                fillings, all_ = _fillings(left, lengths[at:], capacity - first, limits.width, limits.steps)
+                left[first] += 1
+                complete &= all_
+                stack.append([at, fillings[::-1], None])
+        if not stack:
+            break
+        place, fillings, choice = stack[-1]
+        if choice:
+            times, need = choice
+            for x, k in need.items():
+                left[x] += times * k
+            bins -= times
+            waste -= times * (capacity - sum(x * k for x, k in need.items()))
+            stack[-1][2] = None
+        if not fillings:
+            stack.pop()
+            down = False
+            continue
+        need = Counter({lengths[place]: 1})
+        for x, k in fillings.pop():
+            need[x] += k
+        times = 1 if limits.nodes is None else min(left[x] // k for x, k in need.items())
+        complete &= times == 1
+        for x, k in need.items():
+            left[x] -= times * k
+        bins += times
+        waste += times * (capacity - sum(x * k for x, k in need.items()))
+        stack[-1][2] = (times, need)
+        at, down = place, True
+    return _repaired(Packing(incumbent, used, least, used == least or complete), capacity, limits.repairs)
+
+
+def _repaired(packing: Packing, capacity: int, rounds: int) -> Packing:
+    """The emptiest bins and some others, the same in every run, searched anew by themselves; again and again."""
+    if packing.proven or not rounds:
+        return packing
+    patterns, chosen = Counter(), random.Random(0)
+    for times, pattern in packing.patterns:
+        patterns[pattern] += times
+    used = packing.bins
+    for _ in range(rounds):
+        if used <= packing.least:
+            break
+        by_content = sorted(patterns, key=lambda p: (sum(x * k for x, k in p), p))
+        some: Counter = Counter()
+        for pattern in by_content:
+            some[pattern] = min(patterns[pattern], _REPAIR_BINS // 2 - some.total())
+            if some.total() == _REPAIR_BINS // 2:
                 break
-            first = lengths[0]
-            rest = dict(left)
-            rest[first] -= 1
-            options = []
-            for filling in _fillings(rest, lengths, capacity - first, width, steps):
-                need: dict[int, int] = {first: 1}
-                for x, k in filling:
-                    need[x] = need.get(x, 0) + k
-                times = min(left[x] // k for x, k in need.items())
-                after = dict(left)
-                for x, k in need.items():
-                    after[x] -= times * k
-                lost = times * (capacity - sum(x * k for x, k in need.items()))
-                options.append((after, lengths, bins + times, waste + lost, ((times, tuple(sorted(need.items(), reverse=True))), made)))
-            stack += options[:0:-1]
-            del stack[:-waiting]
-            left, lengths, bins, waste, made = options[0]
-        if not lengths and bins < used:
-            incumbent, used = [], bins
-            while made:
-                incumbent.append(made[0])
-                made = made[1]
-    return incumbent
+        for pattern in chosen.sample(by_content, min(len(by_content), _REPAIR_BINS // 2)):
+            some[pattern] += patterns[pattern] > some[pattern]
+        counts: Counter = Counter()
+        for pattern, times in some.items():
+            for x, k in pattern:
+                counts[x] += times * k
+        anew = bin_completion(counts, capacity, _REPAIR)
+        if anew.bins <= some.total():  # as many do as well: the next round starts from other bins
+            used -= some.total() - anew.bins
+            patterns -= some
+            for times, pattern in anew.patterns:
+                patterns[pattern] += times
+    return Packing([(times, pattern) for pattern, times in sorted(patterns.items()) if times], used, packing.least, used == packing.least)
 
 
 #: A word of Latin letters and what ASCII marks follow it: the vocabulary splits there, and lowers each letter alone.
@@ -266,8 +404,10 @@ def pieces(docs: DataFrame, capacity: int, path: str) -> DataFrame:
     return docs.select(docs["doc_id"].cast("long").alias("doc_id"), "text").mapInArrow(cut, PIECES)
 
 
-def pack(spark: SparkSession, docs: DataFrame, capacity: int = 4096, path: str | None = None) -> DataFrame:
-    """One row per piece with its ``sequence_id`` and ``offset``; sequences have no gaps.
+def pack(spark: SparkSession, docs: DataFrame, capacity: int = 4096, path: str | None = None, limits: SearchLimits = SearchLimits()) -> DataFrame:
+    """One row per piece with its ``sequence_id`` and ``offset``; sequences have no gaps. ``over_bound``, the same in all rows, says how
+    many more sequences there are than the lower bound allows: 0 is a best packing, more is one that may be best, or a search that was cut
+    (``limits``; ``NO_LIMITS`` searches to the end).
 
     Rows that repeat are packed each for itself. An empty table gives no rows. Reaches the driver: how
     many pieces there are of each length, and of each part of a length (at most twice ``capacity`` numbers, plus one for each length).
@@ -295,7 +435,8 @@ def pack(spark: SparkSession, docs: DataFrame, capacity: int = 4096, path: str |
     part_sizes = np.zeros(at + 1, np.int64)
     for r in parted.groupBy("part").agg(F.count(F.lit(1))).collect():
         part_sizes[r[0] + 1] = r[1]
-    place = spark.sparkContext.broadcast((np.cumsum(part_sizes), *_layout(counts, capacity)))
+    packing = bin_completion(counts, capacity, limits)
+    place = spark.sparkContext.broadcast((np.cumsum(part_sizes), *_layout(counts, packing)))
     ranked = parted.withColumn("rank", F.row_number().over(Window.partitionBy("part").orderBy("doc_id", "piece", "start", "ids_crc32")))
 
     def seat(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -310,17 +451,18 @@ def pack(spark: SparkSession, docs: DataFrame, capacity: int = 4096, path: str |
                 offset=offset[segment] + along % repeat[segment] * batch["length"].to_numpy(),
             )
 
-    return ranked.mapInPandas(seat, PIECES + ", sequence_id long, offset long")
+    seated = ranked.mapInPandas(seat, PIECES + ", sequence_id long, offset long")
+    return seated.withColumn("over_bound", F.lit(packing.bins - packing.least).cast("long"))
 
 
-def _layout(counts: dict[int, int], capacity: int) -> tuple[np.ndarray, ...]:
+def _layout(counts: dict[int, int], packing: Packing) -> tuple[np.ndarray, ...]:
     """Pieces ordered by length, in segments that one pattern takes: first piece, pieces in each
     sequence, first sequence, place in the sequence."""
     next_piece, at = {}, 0
     for x in sorted(counts):
         next_piece[x], at = at, at + counts[x]
     segments, sequence = [], 0
-    for times, pattern in bin_completion(counts, capacity):
+    for times, pattern in packing.patterns:
         offset = 0
         for x, k in pattern:
             segments.append((next_piece[x], k, sequence, offset))
