@@ -16,7 +16,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterlake.llm.common import release, table, text_blocks
+from rosterlake.llm.common import LIMITS, release, table, text_blocks
+from rosterlake.operators.joins import fits_broadcast
 
 UNDETERMINED = "und"
 _BLOCK = 1 << 18
@@ -26,19 +27,22 @@ _LETTERS: np.ndarray | None = None
 @dataclass(frozen=True)
 class LanguageParams:
     """``docs_per_lang`` bounds the training sample: about so many labelled rows of each
-    language, chosen by a hash of their id. ``min_share`` bounds the filter: an n-gram counts as
-    known to a language with at least this share of the language's n-grams of that size."""
+    language, chosen by a hash of their id. ``min_share`` bounds what is learned: an n-gram counts as
+    known to a language with at least this share of the language's n-grams of that size. A filter has ``2 ** slots_log2`` slots with a bit for each language,
+    64 to a word; with so many languages that it would be larger than ``filter_bytes``, it has fewer slots."""
 
     sizes: tuple[int, ...] = (2, 3, 4)
     docs_per_lang: int = 3000
     min_share: float = 2e-5
     slots_log2: int = 20
     hashes: int = 3
-    most_langs: int = 64
+    filter_bytes: int = 64 << 20
 
 
 @dataclass(frozen=True)
 class LanguageModel:
+    """``slots``: a row for each slot, of one word, or of as many 64-bit words as the languages need."""
+
     langs: tuple[str, ...]
     slots: np.ndarray
     chance: np.ndarray
@@ -93,34 +97,33 @@ def gram_hashes(texts: list[str], sizes: tuple[int, ...]) -> Iterator[tuple[int,
         yield n, h, owner[: len(rolling)][inside]
 
 
-def _positions(h: np.ndarray, params: LanguageParams) -> Iterator[np.ndarray]:
-    low = np.uint64((1 << params.slots_log2) - 1)
+def _positions(h: np.ndarray, n_slots: int, hashes: int) -> Iterator[np.ndarray]:
+    low = np.uint64(n_slots - 1)
     step = (h >> np.uint64(32)) | np.uint64(1)
-    for k in range(params.hashes):
+    for k in range(hashes):
         yield ((h + np.uint64(k) * step) & low).astype(np.int64)
 
 
 def train(docs: DataFrame, params: LanguageParams = LanguageParams()) -> LanguageModel:
     """Learn from ``docs`` (columns text and lang; rows with a null in either teach nothing).
 
-    Only counts per language reach the driver, then at most ``1 / min_share`` n-grams for each
-    language and size. More than ``most_langs`` languages raise an error.
+    Reach the driver: a count for each language, then at most ``1 / min_share`` n-grams for each
+    language and size. A language with few rows is learned from those few; there may be any number of languages.
     """
     labelled = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    sizes = {
-        r["lang"]: r["n"]
-        for r in labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy("lang").limit(params.most_langs + 1).collect()
-    }
-    if len(sizes) > params.most_langs:
-        raise ValueError(f"more than {params.most_langs} languages")
+    counted = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    sizes = {r["lang"]: r["n"] for r in counted.collect()}
     langs = tuple(sorted(sizes, key=lambda x: (-sizes[x], x)))  # a tie goes to the commoner language
-    dtype = next(t for bits, t in ((8, np.uint8), (16, np.uint16), (32, np.uint32), (64, np.uint64)) if len(langs) <= bits)
-    slots = np.zeros(1 << params.slots_log2, dtype)
+    dtype = next((t for bits, t in ((8, np.uint8), (16, np.uint16), (32, np.uint32)) if len(langs) <= bits), np.uint64)
+    words = max(1, -(-len(langs) // 64))
+    n_slots = 1 << min(params.slots_log2, (params.filter_bytes // (words * dtype().itemsize)).bit_length() - 1)
+    slots = np.zeros((n_slots, words), dtype)
     if langs:
-        share = F.lit(0.0)
-        for lang in langs:
-            share = F.when(F.col("lang") == lang, min(1.0, params.docs_per_lang / sizes[lang])).otherwise(share)
-        sample = labelled.filter(F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1 << 20)) < share * (1 << 20))
+        share = F.least(F.lit(float(params.docs_per_lang)) / F.col("_n"), F.lit(1.0))
+        rows_of = counted.withColumnRenamed("n", "_n")
+        sample = labelled.join(F.broadcast(rows_of) if fits_broadcast(rows_of, LIMITS) else rows_of, "lang").filter(
+            F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1 << 20)) < share * (1 << 20)
+        )
 
         def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for batch in batches:
@@ -142,31 +145,33 @@ def train(docs: DataFrame, params: LanguageParams = LanguageParams()) -> Languag
         totals = counts.groupBy("lang", "size").agg((F.sum("n") * params.min_share).alias("least"))
         frequent = counts.join(F.broadcast(totals), ["lang", "size"]).filter("n >= least").select("lang", "gram").toPandas()
         counts.unpersist()
-        for i, lang in enumerate(langs):
-            grams = frequent.loc[frequent["lang"] == lang, "gram"].to_numpy(np.int64).view(np.uint64)
-            for at in _positions(grams, params):
-                slots[at] |= dtype(1 << i)
-    fill = np.array([np.count_nonzero(slots >> dtype(i) & dtype(1)) / len(slots) for i in range(len(langs))])
+        for lang, grams in frequent.groupby("lang")["gram"]:
+            i = langs.index(lang)
+            for at in _positions(grams.to_numpy(np.int64).view(np.uint64), n_slots, params.hashes):
+                slots[at, i // 64] |= dtype(1 << i % 64)
+    fill = np.array([np.count_nonzero(slots[:, i // 64] >> dtype(i % 64) & dtype(1)) / n_slots for i in range(len(langs))])
     return LanguageModel(langs, slots, fill**params.hashes, params)
 
 
 def _hits(texts: list[str], model: LanguageModel) -> tuple[np.ndarray, np.ndarray]:
     """Popcounts by text and language, and n-grams by text."""
-    width = model.slots.dtype.itemsize
-    planes = np.zeros((len(texts), width, 256), np.int64)
+    n_slots, words = model.slots.shape
+    width = words * model.slots.dtype.itemsize
+    bits = (np.arange(256)[:, None] >> np.arange(8)) & 1
+    found = np.zeros((len(texts), width, 8), np.int64)
     grams = np.zeros(len(texts), np.int64)
     for _, h, owner in gram_hashes(texts, model.params.sizes):
         if not len(h):
             continue
-        at = _positions(h, model.params)
+        at = _positions(h, n_slots, model.params.hashes)
         mask = model.slots[next(at)]
         for more in at:
             mask &= model.slots[more]
         for plane, byte in enumerate(np.moveaxis(mask.view(np.uint8).reshape(-1, width), 1, 0)):
-            planes[:, plane] += np.bincount(owner * np.int64(256) + byte, minlength=len(texts) * 256).reshape(-1, 256)
+            if byte.any():
+                found[:, plane] += np.bincount(owner * np.int64(256) + byte, minlength=len(texts) * 256).reshape(-1, 256) @ bits
         grams += np.bincount(owner, minlength=len(texts))
-    bits = (np.arange(256)[:, None] >> np.arange(8)) & 1
-    return (planes @ bits).reshape(len(texts), -1)[:, : len(model.langs)], grams
+    return found.reshape(len(texts), -1)[:, : len(model.langs)], grams
 
 
 def predict(texts: list[str | None], model: LanguageModel) -> tuple[list[str], list[float]]:
