@@ -67,7 +67,7 @@ def mix(
     copy: str = "copy",
     order: str = "mix_key",
 ) -> DataFrame:
-    """``docs`` repeated and shuffled: each row's ``copy`` runs from 1, ``order`` is the random number that deals rows
+    """``docs`` repeated and shuffled: each row's ``copy`` runs from 1, ``order`` is the random number that, with the row's content, deals rows
     to partitions and sorts them there.
 
     A null source is a source of its own. Rows with one id draw the same number. An empty table gives no rows, a
@@ -86,7 +86,9 @@ def mix(
     repeated = rated.select("d", drawn.alias("times")).filter("times > 0").select("d", F.explode(F.sequence(F.lit(1), F.col("times"))).alias("c"))
     dealt = repeated.select("d.*", F.col("c").alias(copy)) if copy not in docs.columns else with_columns(repeated.select("d.*", "c"), {copy: F.col("c")}).drop("c")
     dealt = with_columns(dealt, {order: unit(F.lit(seed + 1), F.col("doc_id"), F.col(copy))})
-    return dealt.repartition(order).sortWithinPartitions(order)
+    # rows that share an id (or have none) draw one number: what is in them parts them
+    content = F.xxhash64(*(F.col(f"`{c}`") for c in dealt.columns))
+    return dealt.repartition(F.col(order), content).sortWithinPartitions(order)
 
 
 def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
