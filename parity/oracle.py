@@ -506,6 +506,9 @@ FROM shown GROUP BY 1 ORDER BY contracted_pct DESC, STATE LIMIT 20""", "shown"),
         "SELECT count(DISTINCT PROVNUM) AS facilities, count(DISTINCT STATE) AS states, "
         "count(DISTINCT CY_Qtr) AS quarters, min(WorkDate) AS first_day, max(WorkDate) AS last_day FROM pbj",
         "pbj"),
+    "identity_from_bitmaps": sql(_each([
+        f"SELECT '{kind}' AS kind, count(DISTINCT {kind}) AS \"distinct\", '{scope}' AS scope FROM pbj {where}"
+        for kind in ("PROVNUM", "STATE", "CITY") for scope, where in (("all", ""), (SCAN_QUARTER, f"WHERE CY_Qtr = '{SCAN_QUARTER}'"))]), "pbj"),
     "state_list": sql("SELECT DISTINCT STATE FROM pbj", "pbj"),
     "quarter_list": sql("SELECT DISTINCT CY_Qtr FROM pbj", "pbj"),
     "duplicate_keys": sql(

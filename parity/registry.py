@@ -17,7 +17,7 @@ from rosterlake.config import (
     TablePaths,
 )
 from rosterlake.functions.calendar import quarter_from_name
-from rosterlake.operators import clean, generate, merge, profile
+from rosterlake.operators import clean, distinct, generate, merge, profile
 from rosterlake.plans import gold, serving, silver as silver_plan
 from rosterlake.session import scratch_dir, staged
 from rosterlake.sinks import audit, checks, landing, tables as sinks
@@ -504,6 +504,21 @@ def identity_profile(t: Tables) -> DataFrame:
     return profile.identity_profile(t.staffing())
 
 
+@query
+def identity_from_bitmaps(t: Tables) -> DataFrame:
+    """Distinct facilities, states and cities from stored bitmaps: one delivery, the other, and the first again; then all
+    quarters together, and one of them alone."""
+    folder = scratch_dir(t.spark, "distinct")
+    rows = staged(t.spark, t.staffing().select("PROVNUM", "STATE", "CITY", "CY_Qtr"), "identities")
+    early = rows.filter(F.col("CY_Qtr") < SCAN_QUARTER)
+    for load in (early, rows.filter(F.col("CY_Qtr") >= SCAN_QUARTER), early):
+        distinct.add_load(t.spark, load, folder, "CY_Qtr", ("PROVNUM", "STATE", "CITY"))
+    bitmaps = distinct.read_bitmaps(t.spark, folder)
+    alone = bitmaps.filter(F.col("CY_Qtr") == SCAN_QUARTER)
+    return distinct.distinct_counts(bitmaps).withColumn("scope", F.lit("all")).unionByName(
+        distinct.distinct_counts(alone).withColumn("scope", F.lit(SCAN_QUARTER)))
+
+
 @query
 def state_list(t: Tables) -> DataFrame:
     return profile.value_list(t.staffing(), "STATE")

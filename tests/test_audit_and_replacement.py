@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rosterlake.config import PROVIDER_FIELDS, STAFFING_COLUMNS, TablePaths
-from rosterlake.operators import clean, profile
+from rosterlake.operators import clean, distinct, profile
 from rosterlake.operators.ranks import rank_correlations
 from rosterlake.plans.silver import run_silver
 from rosterlake.sinks import audit, landing, replace, tables
@@ -240,3 +240,20 @@ def test_profiles_of_an_empty_table(staffing_of):
     assert [(r["count"], r["mean"], r.p50) for r in profile.describe_stats(empty).collect()] == [(0, None, None)] * 4
     listed = clean.contract_report(empty.drop("STATE").withColumn("more", F.lit(1)), STAFFING_COLUMNS).collect()
     assert Counter((r.status, r.filled_rows) for r in listed) == {("ok", 0): 32, ("missing", None): 1, ("unexpected", 0): 1}
+
+
+def test_distinct_counts_from_bitmaps(spark, tmp_path):
+    """Three loads, one of them again with other rows: as if all had been counted together."""
+    rows = [("q1", f"v{i}") for i in range(500)] + [("q2", f"v{i}") for i in range(300, 900)] + [("q2", None), (None, "w")]
+    frame = spark.createDataFrame(rows, "quarter string, v string").repartition(3)
+    for part in (frame.filter("quarter = 'q1'"), frame.filter("quarter = 'q2'"), frame.filter("quarter IS NULL")):
+        distinct.add_load(spark, part, str(tmp_path), "quarter", ("v", "quarter"))
+
+    def counted(where="true"):
+        return {r.kind: r.distinct for r in distinct.distinct_counts(distinct.read_bitmaps(spark, str(tmp_path)).filter(where)).collect()}
+
+    assert counted() == {"v": 901, "quarter": 2} and counted("quarter = 'q2'") == {"v": 600, "quarter": 1}
+    distinct.add_load(spark, frame.filter("quarter = 'q2' AND v < 'v5'"), str(tmp_path), "quarter", ("v", "quarter"))
+    assert counted()["v"] == len({v for q, v in rows if v and (q != "q2" or v < "v5")})
+    ids = spark.read.parquet(str(tmp_path / "dictionary"))
+    assert ids.count() == ids.select("id").distinct().count() == ids.select("kind", "value").distinct().count() == 903
