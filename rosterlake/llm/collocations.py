@@ -20,7 +20,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from rosterlake.llm.common import join_counted, release, table
+from rosterlake.llm.common import LIMITS, Budget, join_counted, release, table
 from rosterlake.llm.divergence import text_buffer, token_bounds
 from rosterlake.llm.pointers import slices, three_way
 from rosterlake.llm.words import text_slices
@@ -28,7 +28,7 @@ from rosterlake.operators.joins import fits_broadcast
 from rosterlake.session import staged
 
 WORDS = 4  # of the longest phrase
-_SHARD = 8 << 20  # bytes of text that are sorted together; a longer text is a shard of its own
+_SHARD = 4 << 20  # bytes of text that are sorted together; a longer text is a shard of its own
 _FILTER_BITS = 16, 28  # powers of two: least and most bits of a filter; 32 MB at most
 _SALTS = 64
 _SPACE, _BREAK = 1, 2
@@ -137,7 +137,7 @@ class Shard:
 
     def partitions(self, lang: np.ndarray, ok: np.ndarray, width: int, least: int, most: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """For each depth from ``least`` to ``most``: a pointer of each partition of equal suffixes, and its size."""
-        order = np.flatnonzero(self.alive(ok, width, least))
+        order = np.flatnonzero(self.alive(ok, width, least)).astype(np.int32)
         n = len(order)
         first, key = np.zeros(n, bool), np.zeros(n, np.int64)
         starts, sizes = np.zeros(min(n, 1), np.int64), np.full(min(n, 1), n, np.int64)
@@ -177,7 +177,7 @@ def phrase_counts(docs: DataFrame, least: int, most: int, width: int = 1, gate:
                     words = [shard.words.take(pa.array(shard.follow(i)[pointer])) for i in range(depth)]
                     phrases = pc.binary_join_element_wise(*words, " ") if depth > 1 else words[0]
                     yield pa.RecordBatch.from_arrays(
-                        [langs.take(pa.array(lang[shard.text[pointer]])), phrases, pa.array(np.full(len(size), depth, np.int32)), pa.array(size)],
+                        [langs.take(pa.array(lang[shard.text[pointer]])), phrases, pa.array(np.full(len(size), depth, np.int32)), pa.array(size.astype(np.int64))],
                         names=["lang", "phrase", "words", "n"],
                     )
         release()
@@ -215,7 +215,7 @@ def scored(spark: SparkSession, frequent: DataFrame) -> DataFrame:
     sides = staged(spark, sides.select(F.struct("lang", "part").alias("part"), "phrase", "words", "a", "k", "side"), "parts")
     asked = sides.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
     known = asked.join(frequent.select(F.struct("lang", F.col("phrase").alias("part")).alias("part"), "f"), "part")
-    met = join_counted(sides, staged(spark, known, "part-counts"), "part", F.xxhash64("phrase", "k"), sides.count())
+    met = join_counted(sides, staged(spark, known, "part-counts"), "part", F.xxhash64("phrase", "k"), sides.count(), budget=Budget())
     every = range(1, WORDS)
     wide = met.groupBy(F.col("part.lang").alias("lang"), "phrase", "words", "a").agg(
         *(F.max(F.when((F.col("k") == k) & (F.col("side") == side), F.col("f"))).alias(f"{name}{k}") for k in every for side, name in enumerate("lr"))
@@ -250,7 +250,7 @@ def collocations(spark: SparkSession, docs: DataFrame, least_count: int = 30, to
     part = F.pmod(F.xxhash64("phrase"), F.lit(_SALTS))
     first = rows.withColumn("rank", F.row_number().over(Window.partitionBy("lang", part).orderBy(*by))).filter(F.col("rank") <= top)
     ranked = first.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*by)).cast("long")).filter(F.col("rank") <= top)
-    whole = F.broadcast(sizes) if fits_broadcast(sizes) else sizes
+    whole = F.broadcast(sizes) if fits_broadcast(sizes, LIMITS) else sizes
     return ranked.join(whole, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
 
 
@@ -275,14 +275,15 @@ f AS MATERIALIZED (
   ) WHERE phrase IS NOT NULL GROUP BY ALL HAVING count(*) >= 30
 ),
 c AS (SELECT lang, m, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE m > 1),
+u AS MATERIALIZED (
+  SELECT c.lang, c.m, c.phrase, c.a, k.m AS cut, array_to_string(c.w[1:k.m], ' ') AS head, array_to_string(c.w[k.m + 1:], ' ') AS tail FROM c JOIN k ON k.m < c.m
+),
 x AS (
-  SELECT c.lang, c.m, c.phrase, c.a, c.w, k.m AS cut, l.f AS l, r.f AS r, (2000000::HUGEINT * c.a) // (l.f + r.f) AS score
-  FROM c JOIN k ON k.m < c.m
-  JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(c.w[1:k.m], ' ') AND l.m = k.m
-  JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[k.m + 1:], ' ') AND r.m = c.m - k.m
+  SELECT u.*, l.f AS l, r.f AS r, (2000000::HUGEINT * u.a) // (l.f + r.f) AS score
+  FROM u JOIN f l ON l.lang = u.lang AND l.phrase = u.head JOIN f r ON r.lang = u.lang AND r.phrase = u.tail
 ),
 b AS MATERIALIZED (SELECT * FROM x QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
-i AS (
+i AS MATERIALIZED (
   SELECT lang, m2 AS m, phrase, max(a) AS most FROM (
     SELECT c.lang, k.m AS m2, c.a, unnest(list_transform(range(1, c.m - k.m + 2), lambda i: array_to_string(c.w[i:i + k.m - 1], ' '))) AS phrase
     FROM c JOIN k ON k.m > 1 AND k.m < c.m

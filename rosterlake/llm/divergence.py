@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from rosterlake.llm.common import release, table
+from rosterlake.llm.common import LIMITS, release, table
 from rosterlake.llm.pointers import places, slices, three_way
 from rosterlake.llm.words import text_slices
 from rosterlake.operators.joins import fits_broadcast
@@ -75,7 +75,7 @@ def shard_runs(data: np.ndarray, borders: np.ndarray, group: np.ndarray) -> tupl
     by_group = np.argsort(group[document], kind="stable")
     begin, end, document = begin[by_group], end[by_group], document[by_group]
     n = len(begin)
-    order, first, key = np.arange(n), np.zeros(n, bool), np.zeros(n, np.uint64)
+    order, first, key = np.arange(n, dtype=np.int32), np.zeros(n, bool), np.zeros(n, np.uint64)
     padded = np.concatenate((data, np.zeros(8, np.uint8)))
     eights = np.ndarray((len(data) + 1,), "<u8", padded, 0, (1,))  # eight bytes from every place on
     starts, sizes, depth = np.array([0] if n else [], np.int64), np.array([n] if n else [], np.int64), 0
@@ -191,7 +191,7 @@ def kept_terms(spark: SparkSession, docs: DataFrame, least_documents: int) -> tu
 
 def beside(rows: DataFrame, groups: DataFrame, on: list[str]) -> DataFrame:
     """Inner join to ``groups``, which goes to all tasks if it was measured to be small."""
-    return rows.join(F.broadcast(groups) if fits_broadcast(groups) else groups, on)
+    return rows.join(F.broadcast(groups) if fits_broadcast(groups, LIMITS) else groups, on)
 
 
 def pair_divergence(kept: DataFrame, groups: DataFrame) -> DataFrame:

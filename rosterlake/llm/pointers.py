@@ -12,15 +12,17 @@ import numpy as np
 
 
 def places(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """The positions of all slices, one slice after the other."""
-    ends = np.cumsum(sizes)
-    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)
+    """The positions of all slices, one slice after the other; in 32 bits, as a shard has fewer."""
+    ends = np.cumsum(sizes, dtype=np.int32)
+    n = int(ends[-1]) if len(ends) else 0
+    return np.arange(n, dtype=np.int32) + np.repeat((starts - (ends - sizes)).astype(np.int32), sizes)
 
 
 def three_way(order: np.ndarray, key: np.ndarray, first: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> None:
     """Sort ``order`` (pointers) and ``key`` (their characters at this depth, by position) inside each slice, and
     mark in ``first`` where a run of equal characters begins. All three are changed in place."""
     first[starts] = True
+    starts, sizes = starts.astype(np.int32), sizes.astype(np.int32)
     some = sizes > 1
     starts, sizes = starts[some], sizes[some]
     while len(starts):
@@ -28,17 +30,21 @@ def three_way(order: np.ndarray, key: np.ndarray, first: np.ndarray, starts: np.
         where = places(starts, sizes)
         mine, held = key[where], order[where]
         less, more = mine < pivot, mine > pivot
-        before_less, before_more = np.cumsum(less), np.cumsum(more)
-        ends = np.cumsum(sizes)
-        upto_less, upto_more = before_less[ends - 1], before_more[ends - 1]
-        n_less = np.diff(upto_less, prepend=0)
-        n_more = np.diff(upto_more, prepend=0)
+        before_less, before_more = np.cumsum(less, dtype=np.int32), np.cumsum(more, dtype=np.int32)
+        ends = np.cumsum(sizes, dtype=np.int32)
+        n_less = np.diff(before_less[ends - 1], prepend=np.int32(0))
+        n_more = np.diff(before_more[ends - 1], prepend=np.int32(0))
+        past_less, past_more = before_less[ends - 1] - n_less, before_more[ends - 1] - n_more  # of earlier slices
         n_equal = sizes - n_less - n_more
-        # where each part of each slice goes on, less what earlier slices have counted
-        to_less = np.repeat(starts - (upto_less - n_less), sizes)
-        to_more = np.repeat(starts + n_less + n_equal - (upto_more - n_more), sizes)
-        to_equal = np.repeat(n_less, sizes) + (upto_less - n_less + upto_more - n_more).repeat(sizes)
-        goal = np.where(less, to_less + before_less - 1, np.where(more, to_more + before_more - 1, to_equal + where - before_less - before_more))
+        # equal ones keep their place, moved by how many around them leave; the others go to the ends of their slice
+        goal = where
+        goal += np.repeat(n_less + past_less + past_more, sizes)
+        goal -= before_less
+        goal -= before_more
+        at = np.flatnonzero(less)
+        goal[at] = (np.repeat(starts - past_less, n_less) + before_less[at]) - 1
+        at = np.flatnonzero(more)
+        goal[at] = (np.repeat(starts + n_less + n_equal - past_more, n_more) + before_more[at]) - 1
         key[goal], order[goal] = mine, held
         first[starts + n_less] = True
         after = starts + n_less + n_equal
@@ -52,4 +58,4 @@ def slices(first: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np
     """The runs that ``first`` marks inside some slices: starts and sizes."""
     where = places(starts, sizes)
     begin = np.flatnonzero(first[where])
-    return where[begin], np.diff(np.concatenate((begin, [len(where)])))
+    return where[begin], np.diff(np.concatenate((begin, [len(where)]))).astype(np.int32)
