@@ -6,6 +6,7 @@ SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 CLASHING = (
     "score", "lang_pred", "copy", "mix_key", "key", "n", "node", "bucket", "label", "class_id", "links", "range", "guest", "sketch",
     "part", "rank", "sequence_id", "offset", "email", "ip", "spans", "d", "g", "row", "_salt", "sentence_ids", "licences", "kept",
+    "shard", "slot", "row_number", "term", "docs", "item", "value", "number", "phrase", "words", "total", "near",
 )
 LONG = " ".join(f"wort{i % 977} the of" for i in range(40_000))
 ROWS = [

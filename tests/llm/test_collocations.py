@@ -5,7 +5,6 @@ import numpy as np
 import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from rosterlake.llm import collocations as co
 from rosterlake.llm.divergence import text_buffer

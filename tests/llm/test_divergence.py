@@ -1,11 +1,8 @@
 import re
 from collections import Counter
 
-import duckdb
 import numpy as np
 import pyarrow as pa
-import pytest
-from pyspark.sql import functions as F
 
 from rosterlake.llm import divergence as dv
 from rosterlake.llm.pointers import slices, three_way
