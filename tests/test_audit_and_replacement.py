@@ -3,11 +3,12 @@
 import hashlib
 import time
 from collections import Counter
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
-from rosterlake.config import PROVIDER_FIELDS, STAFFING_COLUMNS, TablePaths
+from rosterlake.config import PROVIDER_FIELDS, STAFFING_COLUMNS
 from rosterlake.operators import clean, distinct, profile
 from rosterlake.operators.ranks import rank_correlations
 from rosterlake.plans.silver import run_silver
@@ -15,7 +16,7 @@ from rosterlake.sinks import audit, landing, replace, tables
 from rosterlake.sources.csv import MissingColumns, header_census, scan_provider, scan_staffing, staffing_files
 from rosterlake.sources.tables import read_table
 from rosterlake.streaming.incremental import load_new_days
-from test_pipeline import lake, put, staffing_lines  # noqa: F401
+from test_pipeline import lake, put  # noqa: F401
 
 SCHEMA = "k string, quarter string, v int"
 
@@ -129,7 +130,7 @@ def test_a_repeat_without_unmatched_rows_empties_its_part(spark, lake):  # noqa:
     file, other = staffing("2024Q2"), staffing("2024Q2", "PBJ_Daily_Nurse_Staffing_b.csv", facilities=("777777",), n=2)
     run_silver(spark, [file, other], provider, paths, "2024Q2")
     assert set(audited(spark, paths)) and len(audit.read_audit(spark, paths.audit).collect()) == 12
-    put(__import__("pathlib").Path(provider).parent / "provider2.csv", open(provider, encoding="latin-1").read() + "999999,For profit,Medicare,120,3,2,40,0.5,2\n")
+    put(Path(provider).parent / "provider2.csv", open(provider, encoding="latin-1").read() + "999999,For profit,Medicare,120,3,2,40,0.5,2\n")
     run_silver(spark, file, provider.replace("provider.csv", "provider2.csv"), paths, "2024Q2")
     assert Counter(r.PROVNUM for r in audit.read_audit(spark, paths.audit).collect()) == {"777777": 2}
 
