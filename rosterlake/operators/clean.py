@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rosterlake.config import DEFAULTS, HOUR_COLUMNS, PROVIDER_FIELDS, Settings
@@ -15,13 +15,19 @@ class SchemaMismatch(ValueError):
     """A table does not have the columns its contract names."""
 
 
+def _hours(name: str) -> Column:
+    """Text as double, by way of an array of one: 24 plain casts are generated into one method with what comes before them,
+    which then is too long for the JVM to compile (8,000 bytes). Each column stands alone, so those nobody reads are left out."""
+    return F.transform(F.array(name), lambda text: text.try_cast("double"))[0]
+
+
 def type_staffing(raw: DataFrame) -> DataFrame:
     """Text to types in one projection; what does not parse becomes NULL.
 
     Ids and labels stay text (leading zeros). Census goes through double
     because files carry it as ``72`` and as ``72.0``.
     """
-    typed = {name: F.col(name).try_cast("double") for name in HOUR_COLUMNS}
+    typed = {name: _hours(name) for name in HOUR_COLUMNS}
     typed["MDScensus"] = F.col("MDScensus").try_cast("double").try_cast("int")
     typed["WorkDate"] = parse_work_date(F.col("WorkDate"))
     return raw.withColumns(typed)

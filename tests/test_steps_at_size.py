@@ -1,8 +1,11 @@
 """Steps whose tasks must not grow with the table."""
 
+import re
+
 from pyspark.sql import functions as F
 
 from parity import tables
+from parity.registry import QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -14,3 +17,11 @@ def test_a_task_folds_as_many_order_lines_however_many_there_are(spark, monkeypa
     assert len(held) >= 10 and max(held) <= 3 * 200  # 6,000 lines
     places = days.groupBy("l_suppkey", "q").agg(F.countDistinct("part").alias("n")).agg(F.max("n")).first()[0]
     assert places == 1  # so that facilities' quarters are whole before they are shuffled
+
+
+def test_typing_makes_no_method_too_long_to_compile(spark):
+    typed = QUERIES["typed_staffing"](spark, SF)
+    typed.collect()  # the plan that ran is the one to look at
+    code = spark._jvm.PythonSQLUtils.explainString(typed._jdf.queryExecution(), "codegen")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:\s*(\d+)", code)]
+    assert sizes and max(sizes) < 8000
