@@ -1,11 +1,12 @@
 """Steps whose tasks must not grow with the table."""
 
 import re
+from pathlib import Path
 
 from pyspark.sql import functions as F
 
 from parity import tables
-from parity.registry import QUERIES
+from parity.registry import QUERIES, land_staffing
 
 SF = "/root/testdata/sf0.001"
 
@@ -25,3 +26,12 @@ def test_typing_makes_no_method_too_long_to_compile(spark):
     code = spark._jvm.PythonSQLUtils.explainString(typed._jdf.queryExecution(), "codegen")
     sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:\s*(\d+)", code)]
     assert sizes and max(sizes) < 8000
+
+
+def test_landed_text_is_written_where_it_is_made_and_packed(spark, monkeypatch):
+    monkeypatch.setattr(tables, "LINES_PER_FILE", 1000, raising=False)
+    bronze = land_staffing(tables.Tables(spark, SF))
+    folders = [folder for folder in Path(bronze.removeprefix("file:")).glob("quarter=*")]
+    files = [file for folder in folders for file in folder.glob("part-*")]
+    assert files and all(file.suffix == ".gz" for file in files)
+    assert len(files) <= len(folders) + 7  # ranges of quarters, seven of them: no task writes to every folder
