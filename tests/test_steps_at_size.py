@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from parity import tables
 from parity.registry import QUERIES, land_staffing
+from rosterlake.sinks import tables as sinks
 
 SF = "/root/testdata/sf0.001"
 
@@ -35,3 +36,31 @@ def test_landed_text_is_written_where_it_is_made_and_packed(spark, monkeypatch):
     files = [file for folder in folders for file in folder.glob("part-*")]
     assert files and all(file.suffix == ".gz" for file in files)
     assert len(files) <= len(folders) + 7  # ranges of quarters, seven of them: no task writes to every folder
+
+
+def test_rows_of_quarters_held_or_lacking_as_wholes_go_through_no_join(spark, tmp_path, monkeypatch):
+    joined = []
+    compare = sinks.rows_to_insert
+
+    def watched(target, source, *more):
+        joined.extend(sorted({row[0] for row in source.select("work_quarter").collect()}))
+        return compare(target, source, *more)
+
+    monkeypatch.setattr(sinks, "rows_to_insert", watched)
+    path = str(tmp_path / "days")
+
+    def load(*rows):
+        source = spark.createDataFrame(rows, "k string, day string, v int").withColumn("day", F.to_date("day"))
+        sinks.insert_only(spark, source, path, ("k", "day"), ["v"], range_column="day")
+
+    first = [("a", "2024-01-01", 1), ("a", "2024-04-01", 1), ("b", "2024-04-02", 1), ("a", "2024-07-01", 1)]
+    load(*first)
+    load(*first)  # all held
+    load(("c", "2024-01-01", 2), ("a", "2024-10-01", 2))  # held quarter, other keys; new quarter
+    assert joined == []
+    load(("a", "2024-04-01", 3), ("z", "2024-04-01", 3), ("a", "2024-07-01", 3), ("y", "2024-10-01", 3), ("n", None, 3))
+    load(("n", None, 3))
+    assert joined == ["d2024Q2"]
+    held = sorted((str(row["k"]), str(row["day"]), row["v"]) for row in spark.read.parquet(path).collect())
+    more = [("c", "2024-01-01", 2), ("a", "2024-10-01", 2), ("z", "2024-04-01", 3), ("y", "2024-10-01", 3), ("n", "None", 3), ("n", "None", 3)]
+    assert held == sorted(first + more)
