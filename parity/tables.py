@@ -35,6 +35,7 @@ class Tables:
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
         self._small: bool | None = None
+        self._places_small: bool | None = None
         self._lines: int | None = None
 
     def read(self, name: str) -> DataFrame:
@@ -96,6 +97,20 @@ class Tables:
             only("l_returnflag", "A", F.col("o16")).alias("order_a"),
         )
 
+    def places(self) -> DataFrame:
+        """Facility names and where they are. Broadcast inside the measured bounds of a lookup: the planner takes a join for
+        the product of its sides, and adaptive planning stops at 10 MB (about 100,000 facilities), from where on all
+        facility-days would be shuffled and sorted once more."""
+        places = (
+            self.read("supplier")
+            .join(self.read("nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+            .join(self.read("region"), F.col("n_regionkey") == F.col("r_regionkey"))
+            .select("s_suppkey", "s_name", "n_nationkey", "n_name", "r_name")
+        )
+        if self._places_small is None:
+            self._places_small = fits_broadcast(places)
+        return F.broadcast(places) if self._places_small else places
+
     def staffing(self, delivery: str | None = None, by_quarter: bool = False) -> DataFrame:
         """Typed staffing rows, one per facility-day.
 
@@ -103,12 +118,7 @@ class Tables:
         ``delivery`` picks one of two deliveries ('F' or 'O'), which overlap in keys; ``by_quarter``: see ``_facility_days``.
         """
         days = self._facility_days(delivery, by_quarter)
-        places = (
-            self.read("supplier")
-            .join(self.read("nation"), F.col("s_nationkey") == F.col("n_nationkey"))
-            .join(self.read("region"), F.col("n_regionkey") == F.col("r_regionkey"))
-            .select("s_suppkey", "s_name", "n_nationkey", "n_name", "r_name")
-        )
+        places = self.places()
         zero = F.lit(0).cast("bigint")
         has_aides = F.col("l_suppkey") % 7 != 2
         # role -> (all hours, contract hours, divisor)

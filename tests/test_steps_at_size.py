@@ -3,6 +3,7 @@
 import re
 from pathlib import Path
 
+import pytest
 from pyspark.sql import functions as F
 
 from parity import tables
@@ -21,6 +22,16 @@ def test_a_task_folds_as_many_order_lines_however_many_there_are(spark, monkeypa
     assert places == 1  # so that facilities' quarters are whole before they are shuffled
 
 
+@pytest.mark.parametrize("delivery", [None, "F", "O"])
+def test_a_task_of_the_stored_gold_tables_and_of_an_upsert_holds_as_many_days_however_many_there_are(spark, monkeypatch, delivery):
+    monkeypatch.setattr(tables, "LINES_PER_TASK", 200, raising=False)
+    days = tables.Tables(spark, SF).silver(delivery).select("PROVNUM", "quarter", F.spark_partition_id().alias("part"))
+    held = [row["n"] for row in days.groupBy("part").agg(F.count("*").alias("n")).collect()]
+    assert len(held) >= 10 and max(held) <= 3 * 200
+    places = days.groupBy("PROVNUM", "quarter").agg(F.countDistinct("part").alias("n")).agg(F.max("n")).first()[0]
+    assert places == 1  # the provider join moves no day: a facility's quarter still sends one row to the summary
+
+
 def test_typing_makes_no_method_too_long_to_compile(spark):
     typed = QUERIES["typed_staffing"](spark, SF)
     typed.collect()  # the plan that ran is the one to look at
