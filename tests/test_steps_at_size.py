@@ -6,9 +6,12 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from parity import tables
+from parity import registry, tables
 from parity.registry import QUERIES, land_staffing
+from rosterlake.config import HOUR_COLUMNS
+from rosterlake.operators import clean
 from rosterlake.sinks import tables as sinks
+from rosterlake.sources import csv as text
 
 SF = "/root/testdata/sf0.001"
 
@@ -75,3 +78,43 @@ def test_rows_of_quarters_held_or_lacking_as_wholes_go_through_no_join(spark, tm
     held = sorted((str(row["k"]), str(row["day"]), row["v"]) for row in spark.read.parquet(path).collect())
     more = [("c", "2024-01-01", 2), ("a", "2024-10-01", 2), ("z", "2024-04-01", 3), ("y", "2024-10-01", 3), ("n", "None", 3), ("n", "None", 3)]
     assert held == sorted(first + more)
+
+
+def test_hours_are_typed_outside_of_arrays_as_in_them(spark):
+    given = ["12.50000000", " 7 ", "1e3", "-0.25", "inf", "-Infinity", "NaN", "nan", "1d", "", "n/a", "1,5", None]
+    raw = spark.createDataFrame([(v,) for v in given], "h string").select("h", *(F.col("h").alias(n) for n in HOUR_COLUMNS))
+    typed = clean.type_staffing(raw.withColumns({"MDScensus": F.lit("5"), "WorkDate": F.lit("20240101")}))
+    same = F.col("Hrs_RN").eqNullSafe(F.transform(F.array("h"), lambda value: value.try_cast("double"))[0])
+    assert typed.filter(same).count() == len(given)
+    plan = typed.select("Hrs_RN")._jdf.queryExecution().optimizedPlan().toString()
+    assert "coalesce(try_cast(" in plan  # the array, which costs four times as much, is for text without a value
+
+
+def test_hours_are_written_as_decimals_write_them(spark):
+    given = [0.0, -0.0, 1 / 64, -2.5, 7.0, 0.1, 1 / 3, 2.9999999999999996, 0.000000015, 9999999.99999999, 1e7 - 1 / 64, 1e7, -12345678.125, 9e9, None]
+    rows = spark.createDataFrame([(v,) for v in given], "h double")
+    both = rows.select(tables.hours_text("h").alias("new"), F.col("h").cast("decimal(18,8)").cast("string").alias("old")).collect()
+    assert [row["new"] for row in both] == [row["old"] for row in both]
+
+
+def test_each_large_packed_file_is_a_task(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(text, "_SMALL_FILE", 10)
+    for i in range(9):
+        spark.createDataFrame([(str(i), "x")], "A string, B string").coalesce(1).write.option("header", True).option("compression", "gzip").csv(str(tmp_path / f"f{i}"))
+    rows = text.scan_by_name(spark, str(tmp_path / "f*"), ["A"], file_column="file")
+    tasks = {row["A"]: row["task"] for row in rows.select("A", F.spark_partition_id().alias("task")).collect()}
+    assert sorted(tasks) == [str(i) for i in range(9)]
+    assert len(set(tasks.values())) == 9  # Spark packs two of them in a task of four cores, and one core's last task is waited for
+    assert rows.select("file").distinct().count() == 9
+
+
+def test_the_books_are_closed_over_text_parsed_once(spark, monkeypatch):
+    inputs = []
+    monkeypatch.setattr(registry.silver_plan, "run_silver", lambda *a, **k: None)
+    monkeypatch.setattr(registry, "load_new_days", lambda *a, **k: None)
+    monkeypatch.setattr(registry.layers, "read_table", lambda spark, path: tables.Tables(spark, SF).silver())
+    monkeypatch.setattr(registry.audit, "read_audit", lambda spark, path: tables.Tables(spark, SF).silver())
+    monkeypatch.setattr(registry.audit, "reconciled", lambda *rows: inputs.extend(rows) or rows[0])
+    registry.audit_reconciled(tables.Tables(spark, SF))
+    assert len(inputs) == 4 and inputs[0].count() > inputs[1].count() > 0
+    assert all("csv" not in rows._jdf.queryExecution().executedPlan().toString().lower() for rows in inputs)
